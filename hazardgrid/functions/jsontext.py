@@ -5,45 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardgrid.functions.staging import evaluate_once
+
 _OPTIONS = {"allowSingleQuotes": "false"}
 # Parsing continues behind the message up to this closing element, so text
 # after the object is noticed; on its own the reader stops at the brace.
 _CLOSING = ',{"":""}]'
 
 
-def _parse(text: Column) -> Column:
-    """Array of ``map<string,string>``: the object, then the closing element.
-
-    Nested values are kept as JSON text and numbers as their text.
-    """
-    return F.from_json(
-        F.concat(F.lit("["), text, F.lit(_CLOSING)), "array<map<string,string>>", _OPTIONS
-    )
-
-
 def with_object(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Add the parsed object as column ``name`` and evaluate it once per row.
+    """Add ``map<string,string>`` of the JSON object in ``text`` as column ``name``.
 
-    A filter on values taken from the object would be pushed below a plain
-    projection together with a second copy of the parser. The one-element
-    explode keeps the parser in a single place.
+    Anything but one whole object is null. Nested values are kept as JSON text
+    and numbers as their text.
     """
-    elements = F.explode(F.array(_parse(text)))
-    whole = F.size("_elements") == 2
-    return (
-        df.select("*", elements.alias("_elements"))
-        .withColumn(name, F.when(whole, F.col("_elements")[0]))
-        .drop("_elements")
+    wrapped = F.from_json(
+        F.concat(F.lit("["), text, F.lit(_CLOSING)), "array<map<string,string>>", _OPTIONS
     )
+    only_object = F.when(F.size("_elements") == 2, F.col("_elements")[0])
+    return evaluate_once(df.withColumn("_elements", wrapped), name, only_object).drop("_elements")
 
 
-def missing_keys(obj: Column, required: list[str]) -> Column:
-    """The required keys an object lacks, in the order they are listed."""
-    names = F.array(*[F.lit(k) for k in required])
-    return F.filter(names, lambda k: ~F.map_contains_key(obj, k))
+def lacks(obj: Column, key: str) -> Column:
+    """Whether an object does not have a key; a key with a null value is there."""
+    return ~F.map_contains_key(obj, F.lit(key))
 
 
 def bigint(obj: Column, key: str) -> Column:
     """A key's value as a whole number, null when it is not one."""
     text = obj[key]
-    return F.coalesce(text.try_cast("bigint"), F.regexp_extract(text, r"^(-?\d+)\.0$", 1).try_cast("bigint"))
+    written_as_double = F.regexp_extract(text, r"^(-?\d+)\.0$", 1)
+    return F.coalesce(text.try_cast("bigint"), written_as_double.try_cast("bigint"))

@@ -13,10 +13,11 @@ _COMPACT = r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2})?" + _OFFSET + r"$"
 
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to an instant; text without an offset is UTC, bad text is null."""
-    compact = F.regexp_replace(text, _COMPACT, r"$1-$2-$3T$4:$5:$6$7")
+    spelt_out = F.regexp_replace(text, _COMPACT, r"$1-$2-$3T$4:$5:$6$7")
+    no_seconds = F.regexp_replace(spelt_out, r":(?=$|Z|[+-])", "")
     return (
         F.when(text.rlike(_EXTENDED), text.try_cast("timestamp"))
-        .when(text.rlike(_COMPACT), F.regexp_replace(compact, ":(?=$|Z|[+-])", "").try_cast("timestamp"))
+        .when(text.rlike(_COMPACT), no_seconds.try_cast("timestamp"))
     )
 
 

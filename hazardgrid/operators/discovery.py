@@ -71,53 +71,37 @@ def inspected_measurements(
     Sizes are bounded by the limits: 40 locations, 100 measurements each. The
     big inputs are reduced by broadcasting those bounded sides and are never
     shuffled whole. Which 100 measurements a page holds is not fixed by the
-    source; the newest are taken.
+    source; the newest are taken. The page is used twice; it keeps one set of
+    columns so that both uses share one shuffle and one scan.
     """
-    valid = checked_locations(locations).filter("has_id AND in_country").select("pos", "location")
-    m = F.struct("locationsId", "sensorsId", "value", "datetime")
+    valid = checked_locations(locations).filter("has_id AND in_country")
     page = (
         recent(measurements, as_of)
-        .withColumn("measurement", m)
-        .join(F.broadcast(valid), F.col("locationsId") == F.col("location.id"))
+        .select("locationsId", "sensorsId", "value", "datetime")
+        .join(F.broadcast(valid.select("pos", F.col("location.id").alias("locationsId"))), "locationsId")
         .withColumn(
             "item",
             F.row_number().over(
-                Window.partitionBy("pos").orderBy(
-                    F.col("datetime.utc").desc_nulls_last(),
+                Window.partitionBy("pos", "locationsId").orderBy(
+                    F.col("datetime").desc_nulls_last(),
                     F.col("sensorsId").asc_nulls_last(),
                     F.col("value").asc_nulls_last(),
                 )
             ),
         )
         .filter(F.col("item") <= C.PAGE_SIZE)
-        .select("pos", "location", "item", "measurement")
     )
-    wanted = page.select(F.col("measurement.sensorsId").alias("id")).filter(has_id(F.col("id"))).distinct()
+    wanted = page.select(F.col("sensorsId").alias("id")).filter(has_id(F.col("id"))).distinct()
     known = (
         sensors.join(F.broadcast(wanted), "id", "left_semi")
-        .groupBy(F.col("id").alias("_sensor"))
+        .groupBy(F.col("id").alias("sensorsId"))
         .agg(F.min("parameter").alias("parameter"))
     )
-    return page.join(F.broadcast(known), F.col("measurement.sensorsId") == F.col("_sensor"), "left").withColumn(
-        "usable", has_id(F.col("measurement.sensorsId")) & is_pm25(F.col("parameter"))
-    )
-
-
-def _within_active_limit(inspected: DataFrame) -> DataFrame:
-    """Mark rows of locations reached before the limit of active ones.
-
-    Locations are visited in order until enough of them turned out active; the
-    one that fills the quota is still published. At most 40 locations exist, so
-    ranking them in a single window is bounded work.
-    """
-    order = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    visited = (
-        inspected.groupBy("pos")
-        .agg(F.max(F.col("usable").cast("int")).alias("active"))
-        .withColumn("active_before", F.coalesce(F.sum("active").over(order), F.lit(0)))
-        .filter(F.col("active_before") < C.MAX_ACTIVE_LOCATIONS)
+    return (
+        page.join(F.broadcast(known), "sensorsId", "left")
+        .join(F.broadcast(valid.select("pos", "location")), "pos")
+        .withColumn("usable", has_id(F.col("sensorsId")) & is_pm25(F.col("parameter")))
     )
-    return inspected.join(F.broadcast(visited.select("pos")), "pos", "left_semi")
 
 
 def discovered_events(
@@ -128,9 +112,19 @@ def discovered_events(
     ingestion_timestamp: Column | None = None,
 ) -> DataFrame:
     """PM2.5 observations of the active locations, flattened to events."""
-    inspected = _within_active_limit(inspected_measurements(locations, measurements, sensors, as_of))
-    stamp = F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") if ingestion_timestamp is None else ingestion_timestamp
-    return inspected.filter("usable").select(
+    # Locations are visited in order until enough of them turned out active; a
+    # location is active if it has a usable measurement. At most 40 pages exist,
+    # so ranking them in a single window is bounded work.
+    published = (
+        inspected_measurements(locations, measurements, sensors, as_of)
+        .filter("usable")
+        .withColumn("_rank", F.dense_rank().over(Window.orderBy("pos")))
+        .filter(F.col("_rank") <= C.MAX_ACTIVE_LOCATIONS)
+    )
+    stamp = ingestion_timestamp
+    if stamp is None:
+        stamp = F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    return published.select(
         F.lit(C.EVENT_SOURCE).alias("source"),
         stamp.alias("ingestion_timestamp"),
         F.col("location.id").alias("location_id"),
@@ -143,10 +137,10 @@ def discovered_events(
         F.col("parameter.id").alias("parameter_id"),
         F.col("parameter.displayName").alias("parameter_display_name"),
         F.col("parameter.units").alias("unit"),
-        F.col("measurement.value").alias("value"),
-        F.col("measurement.datetime").alias("measurement_datetime"),
-        F.col("measurement.sensorsId").alias("sensor_id"),
-        F.col("measurement.locationsId").alias("source_location_id"),
+        "value",
+        F.col("datetime").alias("measurement_datetime"),
+        F.col("sensorsId").alias("sensor_id"),
+        F.col("locationsId").alias("source_location_id"),
     )
 
 
@@ -161,7 +155,7 @@ def discovery_summary(
         .agg(
             F.count(F.lit(1)).alias("measurements"),
             F.count_if("usable").alias("pm25"),
-            F.count_if(has_id(F.col("measurement.sensorsId")) & ~F.col("usable")).alias("non_pm25"),
+            F.count_if(has_id(F.col("sensorsId")) & ~F.col("usable")).alias("non_pm25"),
         )
     )
     all_rows = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

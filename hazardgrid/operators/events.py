@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from hazardgrid import constants as C
 from hazardgrid import schemas
 from hazardgrid.functions import times
-from hazardgrid.functions.jsontext import bigint, missing_keys, with_object
+from hazardgrid.functions.jsontext import bigint, lacks, with_object
 from hazardgrid.functions.numbers import json_number, round_half_even
+from hazardgrid.functions.staging import evaluate_once
 from hazardgrid.functions.text import lower_or_empty, utf8_lossy, utf8_text
 
 VALID, INVALID = "VALID", "INVALID"
@@ -27,7 +28,7 @@ SILVER_COLS = schemas.SILVER_EVENT.fieldNames()
 AUDIT_COLS = [*SILVER_COLS, "raw_message", "record_json"]
 
 
-def _message_text(df: DataFrame, message: str) -> tuple[Column, Column]:
+def message_text(df: DataFrame, message: str) -> tuple[Column, Column]:
     """(text to parse, text to keep for the audit) of a string or bytes column."""
     col = F.col(message)
     if isinstance(df.schema[message].dataType, T.BinaryType):
@@ -38,10 +39,9 @@ def _message_text(df: DataFrame, message: str) -> tuple[Column, Column]:
 def parse_messages(df: DataFrame, message: str = "value") -> DataFrame:
     """Messages to typed event columns plus ``_obj``, null where parsing failed.
 
-    Numbers stay text in ``_value``, ``_latitude`` and ``_longitude`` until the
-    rules look at them: a number in quotes is acceptable, other text is not.
+    A number may be written in quotes; any other text leaves the column null.
     """
-    text, kept = _message_text(df, message)
+    text, kept = message_text(df, message)
     others = [c for c in df.columns if c != message]
     obj = F.col("_obj")
     when = F.from_json(obj["measurement_datetime"], schemas.EVENT["measurement_datetime"].dataType)
@@ -55,8 +55,8 @@ def parse_messages(df: DataFrame, message: str = "value") -> DataFrame:
         "value": json_number(obj["value"]),
         "measurement_datetime": when,
     }
-    with_text = df.select(*others, kept.alias("_message"), text.alias("_text"))
-    return with_object(with_text, F.col("_text"), "_obj").select(
+    kept_text = df.select("*", kept.alias("_message"))
+    return with_object(kept_text, text, "_obj").select(
         *others,
         "_message",
         "_obj",
@@ -64,9 +64,9 @@ def parse_messages(df: DataFrame, message: str = "value") -> DataFrame:
     )
 
 
-def _tokens(*checks: Column) -> Column:
-    """Join the error tokens of the checks that fired; null when none did."""
-    return F.nullif(F.array_join(F.array_compact(F.array(*checks)), ";"), F.lit(""))
+def _joined(*checks: Column, separator: str = ";") -> Column:
+    """Join the texts of the checks that fired; empty when none did."""
+    return F.concat_ws(separator, *checks)
 
 
 def validate_strict(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -76,18 +76,13 @@ def validate_strict(parsed: DataFrame, as_of: Column | None = None) -> DataFrame
     """
     now = F.current_timestamp() if as_of is None else as_of
     obj = F.col("_obj")
-    missing = missing_keys(obj, C.STRICT_REQUIRED_FIELDS)
-    missing_text = F.array_join(F.transform(missing, lambda k: F.concat(F.lit("MISSING_FIELD:"), k)), ";")
+    missing = _joined(
+        *[F.when(lacks(obj, k), f"MISSING_FIELD:{k}") for k in C.STRICT_REQUIRED_FIELDS]
+    )
     utc = F.col("measurement_datetime.utc")
-    age = times.hours_between(now, F.col("_measured_at"))
+    age = F.col("_age")
     inside = F.col("latitude").between(C.LAT_MIN, C.LAT_MAX) & F.col("longitude").between(C.LON_MIN, C.LON_MAX)
-    freshness = (
-        F.when(F.col("_age").isNull(), UNKNOWN)
-        .when(F.col("_age") < 0, FUTURE)
-        .when(F.col("_age") <= C.FRESHNESS_HOURS, CURRENT)
-        .otherwise(STALE)
-    )
-    rule_errors = _tokens(
+    violated = _joined(
         F.when(
             (lower_or_empty(F.col("parameter")) != C.PM25_NAME) & ~F.col("parameter_id").eqNullSafe(C.PM25_ID),
             "NOT_PM25",
@@ -98,96 +93,106 @@ def validate_strict(parsed: DataFrame, as_of: Column | None = None) -> DataFrame
         F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), "INVALID_COORDINATES")
         .when(~inside, "OUTSIDE_INDONESIA_BOUNDS"),
         F.when(F.coalesce(utc, F.lit("")) == "", "MISSING_MEASUREMENT_UTC")
-        .when(F.col("_measured_at").isNull(), "INVALID_MEASUREMENT_TIMESTAMP"),
-        F.when(F.col("_age") < 0, "FUTURE_MEASUREMENT")
-        .when(F.col("_age") > C.FRESHNESS_HOURS, "STALE_MEASUREMENT"),
+        .when(age.isNull(), "INVALID_MEASUREMENT_TIMESTAMP")
+        .when(age < 0, "FUTURE_MEASUREMENT")
+        .when(age > C.FRESHNESS_HOURS, "STALE_MEASUREMENT"),
     )
     error = (
         F.when(obj.isNull(), "JSON_PARSE_ERROR")
         .when(F.col("_missing") != "", F.col("_missing"))
-        .otherwise(rule_errors)
+        .otherwise(violated)
     )
-    checked = obj.isNotNull() & (F.col("_missing") == "")
+    freshness = (
+        F.when(age.isNull(), UNKNOWN)
+        .when(age < 0, FUTURE)
+        .when(age <= C.FRESHNESS_HOURS, CURRENT)
+        .otherwise(STALE)
+    )
+    complete = obj.isNotNull() & (F.col("_missing") == "")
     staged = (
-        parsed.withColumn("_missing", missing_text)
-        .withColumn("_measured_at", times.parse_iso(utc))
-        .withColumn("_age", age)
-        .withColumn("validation_error", error)
+        parsed.withColumn("_missing", F.when(obj.isNotNull(), missing))
+        .withColumn("_age", times.hours_between(now, times.parse_iso(utc)))
     )
     return _finish(
         staged,
-        parsed,
-        {
-            "measurement_age_hours": F.when(checked, round_half_even(F.col("_age"), 4)),
-            "freshness_status": F.when(checked, freshness),
-            "processed_at": now,
-        },
+        error,
+        freshness=F.when(complete, freshness),
+        age=F.when(complete, age),
+        age_digits=4,
+        processed_at=now,
     )
 
 
 def validate_ingest_age(parsed: DataFrame) -> DataFrame:
     """Apply the lenient rules: the first problem is reported, stale stays valid."""
     obj = F.col("_obj")
-    missing = missing_keys(obj, C.INGEST_AGE_REQUIRED_FIELDS)
-    listing = F.array_join(F.transform(missing, lambda k: F.concat(F.lit("'"), k, F.lit("'"))), ", ")
+    missing = _joined(
+        *[F.when(lacks(obj, k), f"'{k}'") for k in C.INGEST_AGE_REQUIRED_FIELDS], separator=", "
+    )
     utc = F.col("measurement_datetime.utc")
     stamp = F.col("ingestion_timestamp")
-    bad_iso = lambda text: F.concat(F.lit("Invalid isoformat string: '"), text, F.lit("'"))
+    quoted = lambda lead, text: F.concat(F.lit(lead + ": '"), text, F.lit("'"))
     # Error texts of this rule set.
     error = (
         F.when(obj.isNull(), "JSON parsing error")
-        .when(F.size(missing) > 0, F.concat(F.lit("Missing required fields: ["), listing, F.lit("]")))
+        .when(F.col("_missing") != "", F.concat(F.lit("Missing required fields: ["), F.col("_missing"), F.lit("]")))
         .when(obj["value"].isNull(), "float() argument must be a string or a real number, not 'NoneType'")
-        .when(
-            F.col("value").isNull(),
-            F.concat(F.lit("could not convert string to float: '"), obj["value"], F.lit("'")),
-        )
+        .when(F.col("value").isNull(), quoted("could not convert string to float", obj["value"]))
         .when(F.col("value") < 0, F.concat(F.lit("Negative PM2.5 value: "), F.col("value").cast("string")))
         .when(obj["measurement_datetime"].isNull(), "'NoneType' object is not subscriptable")
         .when(utc.isNull(), "'utc'")
-        .when(F.col("_measured_at").isNull(), bad_iso(utc))
-        .when(F.col("_ingested_at").isNull(), bad_iso(F.coalesce(stamp, F.lit("None"))))
+        .when(F.col("_measured_at").isNull(), quoted("Invalid isoformat string", utc))
+        .when(F.col("_ingested_at").isNull(), quoted("Invalid isoformat string", F.coalesce(stamp, F.lit("None"))))
         .when(
             times.has_offset(utc) != times.has_offset(stamp),
             "can't subtract offset-naive and offset-aware datetimes",
         )
+        .otherwise("")
     )
-    valid = F.col("validation_error").isNull()
+    age = F.col("_age")
     staged = (
-        parsed.withColumn("_measured_at", times.parse_iso(utc))
+        parsed.withColumn("_missing", F.when(obj.isNotNull(), missing))
+        .withColumn("_measured_at", times.parse_iso(utc))
         .withColumn("_ingested_at", times.parse_iso(stamp))
         .withColumn("_age", times.hours_between(F.col("_ingested_at"), F.col("_measured_at")))
-        .withColumn("validation_error", error)
+        .withColumn("_error", error)
     )
+    valid = F.col("_error") == ""
     return _finish(
         staged,
-        parsed,
-        {
-            "measurement_age_hours": F.when(valid, round_half_even(F.col("_age"), 2)),
-            "freshness_status": F.when(
-                valid, F.when(F.col("_age") <= C.FRESHNESS_HOURS, CURRENT).otherwise(STALE)
-            ),
-            "processed_at": F.lit(None).cast("timestamp"),
-        },
+        F.col("_error"),
+        freshness=F.when(valid, F.when(age <= C.FRESHNESS_HOURS, CURRENT).otherwise(STALE)),
+        age=F.when(valid, age),
+        age_digits=2,
+        processed_at=F.lit(None).cast("timestamp"),
     )
 
 
-def _finish(staged: DataFrame, parsed: DataFrame, enrichment: dict[str, Column]) -> DataFrame:
-    """Common output shape of both rule sets."""
-    obj = F.col("_obj")
-    others = [c for c in parsed.columns if c not in EVENT_COLS and c not in ("_obj", "_message")]
-    rejected = F.col("validation_error").isNotNull()
+def _finish(
+    staged: DataFrame, error: Column, freshness: Column, age: Column, age_digits: int, processed_at: Column
+) -> DataFrame:
+    """Common output shape of both rule sets; an empty ``error`` means valid.
+
+    The verdict is pinned, so selecting valid or rejected rows afterwards does
+    not run the rules a second time.
+    """
+    others = [c for c in staged.columns if c not in EVENT_COLS and not c.startswith("_")]
+    verdict = F.struct(error.alias("error"), freshness.alias("freshness"), age.alias("age"))
+    judged = evaluate_once(staged, "_verdict", verdict)
+    rejected = F.col("_verdict.error") != ""
+    parsed = F.col("_obj").isNotNull()
     enrichment = {
-        **enrichment,
+        "measurement_age_hours": round_half_even(F.col("_verdict.age"), age_digits),
+        "freshness_status": F.col("_verdict.freshness"),
+        "processed_at": processed_at,
         "validation_status": F.when(rejected, INVALID).otherwise(VALID),
+        "validation_error": F.when(rejected, F.col("_verdict.error")),
         # Rejects of the parser keep the message, other rejects their record.
-        "raw_message": F.when(obj.isNull(), F.col("_message")),
-        "record_json": F.when(obj.isNotNull() & rejected, F.col("_message")),
+        "raw_message": F.when(~parsed, F.col("_message")),
+        "record_json": F.when(parsed & rejected, F.col("_message")),
     }
-    return staged.select(
-        *others,
-        *EVENT_COLS,
-        *[enrichment[c].alias(c) if c in enrichment else F.col(c) for c in AUDIT_COLS if c not in EVENT_COLS],
+    return judged.select(
+        *others, *EVENT_COLS, *[enrichment[c].alias(c) for c in AUDIT_COLS if c not in EVENT_COLS]
     )
 
 

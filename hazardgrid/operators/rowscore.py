@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from hazardgrid.functions import lookups, scoring
 from hazardgrid.functions.jsontext import with_object
 from hazardgrid.functions.numbers import clamp_percent, json_number, round_half_even
-from hazardgrid.operators.events import _message_text
+from hazardgrid.functions.staging import evaluate_once
+from hazardgrid.operators.events import message_text
 
 SCORED_COLS = [
     "event_id", "event_ts", "city", "severity", "pm25", "delay_rate",
@@ -23,16 +24,14 @@ def score_rows(messages: DataFrame, message: str = "value", processed_at: Column
     value is null, and from ``weather_severity`` otherwise. The band is that of
     the rounded score.
     """
-    text, kept = _message_text(messages, message)
+    text, kept = message_text(messages, message)
     others = [c for c in messages.columns if c != message]
     obj = F.col("_obj")
     severity = F.when(F.map_contains_key(obj, F.lit("severity")), obj["severity"]).otherwise(obj["weather_severity"])
     # Empty text counts as missing, like null.
     number = lambda key: json_number(F.nullif(obj[key], F.lit("")))
     unreadable = lambda key: (F.coalesce(obj[key], F.lit("")) != "") & F.col(key).isNull()
-    parsed = with_object(
-        messages.select(*others, kept.alias("_raw"), text.alias("_text")), F.col("_text"), "_obj"
-    ).select(
+    parsed = with_object(messages.select("*", kept.alias("_raw")), text, "_obj").select(
         *others,
         "_raw",
         "_obj",
@@ -41,8 +40,10 @@ def score_rows(messages: DataFrame, message: str = "value", processed_at: Column
         number("pm25").alias("pm25"),
         number("delay_rate").alias("delay_rate"),
     )
-    error = F.when(obj.isNull(), "JSON_PARSE_ERROR").when(
-        unreadable("pm25") | unreadable("delay_rate"), "INVALID_NUMBER"
+    error = (
+        F.when(obj.isNull(), "JSON_PARSE_ERROR")
+        .when(unreadable("pm25") | unreadable("delay_rate"), "INVALID_NUMBER")
+        .otherwise("")
     )
     raw_score = clamp_percent(
         scoring.weighted_score(
@@ -51,12 +52,14 @@ def score_rows(messages: DataFrame, message: str = "value", processed_at: Column
             scoring.row_logistics_risk(F.col("delay_rate")),
         )
     )
+    judged = evaluate_once(parsed.withColumn("_score", raw_score), "_error", error)
+    good = F.col("_error") == ""
     return (
-        parsed.withColumn("error", error)
-        .withColumn("risk_score", F.when(F.col("error").isNull(), round_half_even(raw_score, 2)))
-        .withColumn("risk_band", F.when(F.col("error").isNull(), scoring.band(F.col("risk_score"))))
+        judged.withColumn("risk_score", F.when(good, round_half_even(F.col("_score"), 2)))
+        .withColumn("risk_band", F.when(good, scoring.band(F.col("risk_score"))))
         .withColumn("processed_at", F.current_timestamp() if processed_at is None else processed_at)
-        .withColumn("raw", F.when(F.col("error").isNotNull(), F.col("_raw")))
+        .withColumn("raw", F.when(~good, F.col("_raw")))
+        .withColumn("error", F.when(~good, F.col("_error")))
         .select(*others, *SCORED_COLS, "raw", "error")
     )
 

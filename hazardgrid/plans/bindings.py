@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardgrid import constants as C
 from hazardgrid import schemas
+from hazardgrid.functions.staging import spread
 
 AS_OF = "2024-01-20 00:00:00"
 FEED_URL = "https://alerts.example/feeds/id/rss.xml"
@@ -20,8 +22,29 @@ ALERT_TYPES = ["error", "signup"]
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+_LONG, _INT, _DOUBLE, _STRING = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+
+# The columns the bindings use. Declaring them saves the job that reads a file
+# footer to infer a schema.
+TABLES = {
+    "nation": _columns(n_nationkey=_INT, n_name=_STRING),
+    "customer": _columns(c_custkey=_LONG, c_name=_STRING, c_nationkey=_INT, c_mktsegment=_STRING),
+    "orders": _columns(o_orderkey=_LONG, o_custkey=_LONG),
+    "lineitem": _columns(
+        l_orderkey=_LONG, l_suppkey=_LONG, l_linenumber=_INT, l_quantity=_DOUBLE, l_discount=_DOUBLE, l_tax=_DOUBLE
+    ),
+    "events": _columns(
+        event_id=_LONG, ts=T.TimestampNTZType(), user_id=_LONG, event_type=_STRING, value=_DOUBLE
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_of() -> Column:
@@ -32,6 +55,12 @@ def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
+def _cut(name: str, n: int, characters: int) -> Column:
+    """The text of a column, shortened at the end in every n-th row."""
+    text = F.col(name)
+    return F.when(_every(n), F.substring(text, F.lit(1), F.length(text) - characters)).otherwise(text)
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Stored without a zone; the values are UTC.
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -66,6 +95,11 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = events_table(spark, sf_dir).filter(F.col("event_type").isin(ALERT_TYPES))
+    return spread(events.select("event_id", "ts", "user_id"))
+
+
 def _alert_id() -> Column:
     return F.concat(F.lit("AL"), F.lpad(F.col("event_id").cast("string"), 10, "0"))
 
@@ -75,7 +109,7 @@ def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every 50th uses a namespace prefix and every 97th is cut off.
     """
-    events = events_table(spark, sf_dir).filter(F.col("event_type").isin(ALERT_TYPES))
+    events = _alert_events(spark, sf_dir)
     severity = F.element_at(
         F.array(*[F.lit(s) for s in ("Minor", "Moderate", " SEVERE ", "extreme", "Unknown", None)]),
         (F.col("event_id") % 6).cast("int") + 1,
@@ -110,13 +144,11 @@ def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     whole = F.when(_every(50), document("cap:")).otherwise(document(""))
-    cut = F.substring(whole, F.lit(1), F.length(whole) - 40)
     path = F.concat(
         F.lit("/bronze/alerts/ingestion_date="), F.to_date("ts").cast("string"), F.lit("/"), _alert_id(), F.lit(C.CAP_FILE_SUFFIX)
     )
-    return events.select(
-        path.alias("path"),
-        F.when(_every(97), cut).otherwise(whole).cast("binary").alias("content"),
+    return events.select("event_id", path.alias("path"), whole.alias("content")).select(
+        "path", _cut("content", 97, 40).cast("binary").alias("content")
     )
 
 
@@ -142,13 +174,23 @@ def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(F.lit("<link/>"), link(F.lit("ignored"))),
         F.lit("</channel></rss>"),
     )
-    events = events_table(spark, sf_dir).filter(F.col("event_type").isin(ALERT_TYPES))
+    events = _alert_events(spark, sf_dir)
     return events.select("event_id", content.cast("binary").alias("content"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PM2.5 event messages with their publish time (see ``message_columns``)."""
-    return message_columns(events_table(spark, sf_dir))
+    return message_columns(spread(_message_events(events_table(spark, sf_dir))))
+
+
+def _message_events(events: DataFrame) -> DataFrame:
+    kept = events.filter(F.col("event_type").isin(MESSAGE_TYPES))
+    return kept.select("event_id", "ts", "user_id", "value")
+
+
+def message_stream(events: DataFrame) -> DataFrame:
+    """The messages of a stream of event rows."""
+    return message_columns(_message_events(events))
 
 
 def message_columns(events: DataFrame) -> DataFrame:
@@ -188,10 +230,9 @@ def message_columns(events: DataFrame) -> DataFrame:
         .when(_every(43), write(number.cast("string").alias("value")))
         .otherwise(write(number.alias("value")))
     )
-    return events.filter(F.col("event_type").isin(MESSAGE_TYPES)).select(
-        "event_id",
-        F.col("ts").alias("published_at"),
-        F.when(_every(37), F.substring(text, F.lit(1), F.length(text) - 5)).otherwise(text).alias("value"),
+    return (
+        events.select("event_id", F.col("ts").alias("published_at"), text.alias("value"))
+        .withColumn("value", _cut("value", 37, 5))
     )
 
 
@@ -225,9 +266,10 @@ def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     write = lambda key: F.to_json(F.struct(*head, severity.alias(key), *rest), {"ignoreNullFields": "false"})
     text = F.when(_every(2), write("severity")).otherwise(write("weather_severity"))
-    return events_table(spark, sf_dir).select(
-        F.col("event_id").alias("row_id"),
-        F.when(_every(53), F.substring(text, F.lit(1), F.length(text) - 5)).otherwise(text).alias("value"),
+    return (
+        spread(events_table(spark, sf_dir).select("event_id", "ts", "user_id", "value"))
+        .select("event_id", text.alias("value"))
+        .select(F.col("event_id").alias("row_id"), _cut("value", 53, 5).alias("value"))
     )
 
 

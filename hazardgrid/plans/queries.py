@@ -293,7 +293,7 @@ def risk_row_scores(spark, sf):
 @query
 def risk_row_dead_letters(spark, sf):
     rows = rowscore.score_rows(B.combined_rows(spark, sf), processed_at=B.as_of())
-    return rowscore.dead_letters(rows).select("row_id", "error", F.length("raw").alias("raw_length"))
+    return rowscore.dead_letters(rows).select("row_id", "error", F.regexp_extract("raw", '"event_id":"([0-9]+)"', 1).alias("raw_event_id"))
 
 
 def _landed(spark, sf):
@@ -330,8 +330,7 @@ def _run_dir(spark, name):
 
 def _event_stream(spark, sf):
     """The events table as a file stream."""
-    schema = B.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    stream = spark.readStream.schema(B.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -352,7 +351,7 @@ def stream_window_counts_closed(spark, sf):
     """The windows a stream over the table has closed when its input ends."""
     out = _run_dir(spark, "window-counts")
     checked = events.validate_strict(
-        events.parse_messages(B.message_columns(_event_stream(spark, sf))), B.as_of()
+        events.parse_messages(B.message_stream(_event_stream(spark, sf))), B.as_of()
     )
     pipelines.window_count_pipeline(checked, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
     schema = "window_start TIMESTAMP, window_end TIMESTAMP, validation_status STRING, records BIGINT"
@@ -363,7 +362,7 @@ def stream_window_counts_closed(spark, sf):
 def stream_silver(spark, sf):
     """Silver and audit rows written by the streaming job over the table."""
     out = _run_dir(spark, "events")
-    stream = B.message_columns(_event_stream(spark, sf))
+    stream = B.message_stream(_event_stream(spark, sf))
     pipelines.event_pipeline(
         stream, f"{out}/silver", f"{out}/audit", f"{out}/checkpoint", as_of=B.as_of(), once=True
     ).awaitTermination()

@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Size checks for broadcasts go by file size; Parquet unpacks to several
+    # times that, and a side must fit the threshold unpacked.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     # Upserts rewrite only the date partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -33,7 +36,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "hazardgrid", **conf: str) -> SparkSession:
     """Session for scripts and tests; clusters normally pass their own."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    # Static, so only possible here: recording a Python call site for every
+    # column expression takes longer than planning the query.
+    static = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**static, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazardgrid import constants as C
+from hazardgrid.functions.staging import spread
 from hazardgrid.operators import events, rowscore
 from hazardgrid.sinks.jsonlines import silver_layout
 
@@ -38,7 +39,7 @@ def event_pipeline(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = events.parse_messages(batch)
+        parsed = events.parse_messages(spread(batch))
         checked = rules(parsed, as_of) if rules is events.validate_strict else rules(parsed)
         checked = checked.persist()
         try:
@@ -69,7 +70,7 @@ def scoring_pipeline(
     """Score a stream of combined records; the batch job uses the same operator."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = rowscore.score_rows(batch, processed_at=processed_at).persist()
+        rows = rowscore.score_rows(spread(batch), processed_at=processed_at).persist()
         try:
             for part, path in ((rowscore.scored(rows), output), (rowscore.dead_letters(rows), f"{output}_dead_letter")):
                 (
