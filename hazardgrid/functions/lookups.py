@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from itertools import chain
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hazardgrid import constants as C
 from hazardgrid import schemas
@@ -28,16 +31,26 @@ def normalize_area(area: Column) -> Column:
     return F.coalesce(F.try_element_at(_map(C.AREA_ALIASES), name), name)
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Fixed rows as a local relation, whose size Catalyst knows.
+
+    Rows handed over as Python objects become an RDD of unknown size, which a
+    join would shuffle the other side for.
+    """
+    columns = [list(c) for c in zip(*rows)]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def province_cities(spark: SparkSession) -> DataFrame:
     """Province to operating city (8 literal rows)."""
-    return spark.createDataFrame(
-        list(C.PROVINCE_CITY.items()), "area_desc STRING, city STRING"
-    )
+    return _literal_table(spark, list(C.PROVINCE_CITY.items()), schemas.PROVINCE_CITY)
 
 
 def station_seed(spark: SparkSession) -> DataFrame:
     """Monitoring stations mapped to operating cities (22 literal rows)."""
-    return spark.createDataFrame(C.STATION_SEED, schemas.STATION_MAPPING)
+    return _literal_table(spark, C.STATION_SEED, schemas.STATION_MAPPING)
 
 
 def station_city(location_id: Column) -> Column:

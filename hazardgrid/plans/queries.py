@@ -221,9 +221,19 @@ def area_risk_daily(spark, sf):
     return _gold(spark, sf)
 
 
+def _stored(spark, name, df):
+    """A daily signal written to the shared folder and read back, as the batch does."""
+    path = f"{_run_dir(spark, name)}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @query
 def area_risk_daily_joined(spark, sf):
-    return arearisk.score(arearisk.combine_by_joins(*_signals(spark, sf)))
+    """Gold by spine and joins over the stored daily signals."""
+    names = ("delivery", "environment", "air")
+    stored = [_stored(spark, n, s) for n, s in zip(names, _signals(spark, sf))]
+    return arearisk.score(arearisk.combine_by_joins(*stored))
 
 
 @query
@@ -254,6 +264,7 @@ def _rounded(df):
 @query
 def dq_not_null(spark, sf):
     deliveries, environment, air = _signals(spark, sf)
+    deliveries = _stored(spark, "delivery", deliveries)
     gold = arearisk.area_risk_daily(deliveries, environment, air)
     prefix = lambda df, name: df.withColumn("check_name", F.concat(F.lit(name + "."), "check_name"))
     not_null = [c for c in quality.gold_checks() if c.name.startswith("not_null")]

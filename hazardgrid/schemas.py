@@ -35,6 +35,8 @@ CAP_DOCUMENT = _struct(
 _FEED_ITEMS = T.ArrayType(_struct(link=T.ArrayType(STRING)))
 FEED_DOCUMENT = _struct(channel=_struct(item=_FEED_ITEMS), item=_FEED_ITEMS)
 
+PROVINCE_CITY = _struct(area_desc=STRING, city=STRING)
+
 # Daily weather hand-over file (text timestamps, includes the headline).
 WEATHER_DAILY_JSON = _struct(
     event_date=DATE,

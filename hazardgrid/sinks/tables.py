@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,14 +64,29 @@ class Warehouse:
         """A table's rows in declared column order."""
         return self.spark.table(self.name(table)).select(*TABLES[table][1].fieldNames())
 
+    @contextmanager
+    def staged(self, df: DataFrame, table: str) -> Iterator[DataFrame]:
+        """``df`` written once to a stage table that is dropped afterwards."""
+        stage = f"{self.name(table)}_stage_{uuid.uuid4().hex[:12]}"
+        try:
+            df.write.format("parquet").saveAsTable(stage)
+            yield self.spark.table(stage)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
     def overwrite(self, df: DataFrame, table: str) -> None:
-        """Replace a whole table, as materialising a mart does."""
+        """Replace a whole table, as materialising a mart does.
+
+        The rows are computed into a stage first: a job that fails leaves the
+        previous content in place.
+        """
         _, schema, partition, order = TABLES[table]
-        writer = _clustered(_conform(df, schema), partition, order).write.mode("overwrite").format("parquet")
-        if partition:
-            # Also drops the partitions the new content no longer has.
-            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "static")
-        writer.saveAsTable(self.name(table))
+        with self.staged(_conform(df, schema), table) as rows:
+            writer = _clustered(rows, partition, order).write.mode("overwrite").format("parquet")
+            if partition:
+                # Also drops the partitions the new content no longer has.
+                writer = writer.partitionBy(partition).option("partitionOverwriteMode", "static")
+            writer.saveAsTable(self.name(table))
 
     def seed_stations(self) -> None:
         """(Re)write the station mapping; running it again does not duplicate it."""
@@ -92,28 +109,22 @@ class Warehouse:
         """
         _, schema, partition, order = TABLES[table]
         self.create_table(table)
-        stage = f"{self.name(table)}_stage_{uuid.uuid4().hex[:12]}"
-        try:
-            quality.require_keys(source.select(*KEYS, *update_cols), KEYS).write.format("parquet").saveAsTable(stage)
-            staged = self.spark.table(stage)
-            first, last = staged.agg(F.min(partition), F.max(partition)).first()
+        with self.staged(quality.require_keys(source.select(*KEYS, *update_cols), KEYS), table) as rows:
+            first, last = rows.agg(F.min(partition), F.max(partition)).first()
             if first is None:
                 return
-            dates = staged.select(partition).distinct()
             touched = (
                 self.table(table)
                 .filter(F.col(partition).between(F.lit(first), F.lit(last)))
-                .join(dates, partition, "left_semi")
+                .join(rows.select(partition).distinct(), partition, "left_semi")
             )
-            merged = upsert(touched, staged, KEYS, update_cols, insert_defaults)
+            merged = upsert(touched, rows, KEYS, update_cols, insert_defaults)
             ready = _clustered(_conform(merged, schema), partition, order)
             # insertInto is positional, partition column last.
             stored = self.spark.table(self.name(table)).columns
             ready.select(*stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
                 self.name(table)
             )
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
 
 def upsert_weather(warehouse: Warehouse, rows: DataFrame) -> None:

@@ -55,9 +55,17 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str)
     )
 
 
-def silver_events(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Accepted events, from the Parquet layout or from JSON lines."""
-    return spark.read.schema(schemas.SILVER_EVENT).format(fmt).load(path)
+def silver_events(
+    spark: SparkSession, path: str, fmt: str = "parquet", dates: list[str] | None = None
+) -> DataFrame:
+    """Accepted events, from the Parquet layout or from JSON lines.
+
+    ``dates`` prunes the Parquet layout to the folders of those dates.
+    """
+    stored = spark.read.schema(schemas.SILVER_EVENT).format(fmt).load(path)
+    if dates:
+        stored = stored.filter(F.col("event_date").isin([F.lit(d).cast("date") for d in dates]))
+    return stored.select(*schemas.SILVER_EVENT.fieldNames())
 
 
 def driver_events_csv(spark: SparkSession, path: str) -> DataFrame:

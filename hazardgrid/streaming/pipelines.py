@@ -44,10 +44,10 @@ def event_pipeline(
         checked = checked.persist()
         try:
             options = {"ignoreNullFields": "false"} if fmt == "json" else {}
-            for part, path in (
-                (silver_layout(events.silver_events(checked)), silver_path),
-                (events.audit_events(checked), audit_path),
-            ):
+            # A rebalance gives each date few files; unlike a repartition by
+            # date it splits a date that is too large for one.
+            silver = silver_layout(events.silver_events(checked)).hint("rebalance", "event_date")
+            for part, path in ((silver, silver_path), (events.audit_events(checked), audit_path)):
                 writer = part.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**options)
                 if "event_date" in part.columns:
                     writer = writer.partitionBy("event_date")

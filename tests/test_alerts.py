@@ -144,3 +144,10 @@ def test_handover_must_not_be_empty(spark, tmp_path):
         landed.weather_daily_json(spark, str(tmp_path / "empty.jsonl"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         landed.weather_daily_json(spark, str(tmp_path / "absent.jsonl"))
+
+
+def test_fixed_tables_are_broadcast_by_their_known_size(spark):
+    mapped = alerts.map_alerts(alerts.parse_alerts(objects(spark, [("a", cap())])), lookups.province_cities(spark))
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "LocalTableScan" in lookups.station_seed(spark)._jdf.queryExecution().executedPlan().toString()
