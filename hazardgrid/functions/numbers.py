@@ -26,21 +26,18 @@ def round_half_even(value: Column, digits: int) -> Column:
     plain column: the value is used many times.
     """
     scale = float(10**digits)
-    high = _upper_half(value)
-    low = value - high
     product = value * F.lit(scale)
-    error = (high * F.lit(scale) - product) + low * F.lit(scale)
-    floor = F.floor(product).cast("double")
-    above = (product - floor) - F.lit(0.5)
-    up = (above > 0) | ((above == 0) & (error > 0))
-    tie = (above == 0) & (error == 0)
+    nearest = F.rint(product)
+    half_way = F.abs(product - nearest) == 0.5
+    high = _upper_half(value)
+    error = (high * F.lit(scale) - product) + (value - high) * F.lit(scale)
     rounded = (
-        F.when(tie, F.when(F.pmod(floor, F.lit(2.0)) == 0, floor).otherwise(floor + 1))
-        .when(up, floor + 1)
-        .otherwise(floor)
-    ) / F.lit(scale)
+        F.when(half_way & (error > 0), product + 0.5)
+        .when(half_way & (error < 0), product - 0.5)
+        .otherwise(nearest)
+    )
     # Beyond 2^45 the product has no fraction left to decide on.
-    return F.when(F.abs(product) < F.lit(float(2**45)), rounded).otherwise(value)
+    return F.when(F.abs(product) < F.lit(float(2**45)), rounded / F.lit(scale)).otherwise(value)
 
 
 def _upper_half(value: Column) -> Column:

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     # Size checks for broadcasts go by file size; Parquet unpacks to several
     # times that, and a side must fit the threshold unpacked.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # The JIT compiler skips methods over 8000 bytes of bytecode; a stage that
+    # generates one runs faster as separate, compiled operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Upserts rewrite only the date partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
