@@ -55,4 +55,5 @@ def station_seed(spark: SparkSession) -> DataFrame:
 
 def station_city(location_id: Column) -> Column:
     """Operating city of a station id, null when the station is not mapped."""
-    return F.try_element_at(_map({s[0]: s[1] for s in C.STATION_SEED}), location_id.cast("int"))
+    cities = _map({s[0]: s[1] for s in C.STATION_SEED}).cast("map<bigint,string>")
+    return F.try_element_at(cities, location_id.cast("bigint"))

@@ -26,6 +26,7 @@ CURRENT, STALE, FUTURE, UNKNOWN = "CURRENT", "STALE", "FUTURE", "UNKNOWN"
 EVENT_COLS = schemas.EVENT.fieldNames()
 SILVER_COLS = schemas.SILVER_EVENT.fieldNames()
 AUDIT_COLS = [*SILVER_COLS, "raw_message", "record_json"]
+_INTERNAL = ["_message", "_obj", "_missing", "_measured_at", "_ingested_at", "_age", "_error"]
 
 
 def message_text(df: DataFrame, message: str) -> tuple[Column, Column]:
@@ -176,7 +177,7 @@ def _finish(
     The verdict is pinned, so selecting valid or rejected rows afterwards does
     not run the rules a second time.
     """
-    others = [c for c in staged.columns if c not in EVENT_COLS and not c.startswith("_")]
+    others = [c for c in staged.columns if c not in EVENT_COLS and c not in _INTERNAL]
     verdict = F.struct(error.alias("error"), freshness.alias("freshness"), age.alias("age"))
     judged = evaluate_once(staged, "_verdict", verdict)
     rejected = F.col("_verdict.error") != ""

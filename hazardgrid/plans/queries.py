@@ -251,6 +251,11 @@ def kpi_trend(spark, sf):
     return _rounded(arearisk.kpi_trend(_gold(spark, sf)))
 
 
+@query
+def kpi_detail(spark, sf):
+    return arearisk.detail_table(_gold(spark, sf))
+
+
 def _rounded(df):
     """Averages at 6 digits: their last bits depend on the order of addition."""
     return df.withColumns(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazardgrid.functions import times
 from hazardgrid.operators import rowscore
 
 
@@ -33,6 +34,6 @@ def silver_layout(df: DataFrame) -> DataFrame:
 
     Events without a readable measurement time go to the default partition.
     """
-    return df.withColumn("event_date", F.to_date(F.col("measurement_datetime.utc").try_cast("timestamp")))
+    return df.withColumn("event_date", F.to_date(times.parse_iso(F.col("measurement_datetime.utc"))))
 
 

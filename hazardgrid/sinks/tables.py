@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,29 +141,32 @@ def upsert_air_quality(warehouse: Warehouse, rows: DataFrame) -> None:
     warehouse.upsert("openaq_air_quality_daily", rows, columns)
 
 
-def land_records(df: DataFrame, path: str, key: str, arrival: str) -> None:
+def land_records(df: DataFrame, path: str, key: str, arrival: str, ingestion_date: str) -> None:
     """Land records under ``ingestion_date=`` so that a re-ingest replaces its own.
 
-    ``df`` carries ``ingestion_date``. Within a batch the record with the
-    highest ``arrival`` wins; records landed earlier the same day stay unless
-    the batch brings the same key.
+    Within a batch the record with the highest ``arrival`` wins; records landed
+    earlier the same day stay unless the batch brings the same key. Only the
+    folder of that day is read and rewritten.
     """
-    spark = df.sparkSession
-    values = [c for c in df.columns if c not in ("ingestion_date", key)]
-    newest = (
-        df.groupBy("ingestion_date", key)
+    values = [c for c in df.columns if c != key]
+    landed = (
+        df.groupBy(key)
         .agg(F.max_by(F.struct(*values), F.col(arrival)).alias("_row"))
-        .select("ingestion_date", key, *[F.col("_row")[c].alias(c) for c in values])
+        .select(key, *[F.col("_row")[c].alias(c) for c in values])
         .select(*df.columns)
     )
-    if _exists(spark, path):
-        earlier = spark.read.schema(df.schema).parquet(path)
-        kept = earlier.join(newest.select("ingestion_date").distinct(), "ingestion_date", "left_semi").join(
-            newest.select("ingestion_date", key), ["ingestion_date", key], "left_anti"
-        )
-        newest = newest.unionByName(kept)
+    schema = T.StructType([*df.schema.fields, T.StructField("ingestion_date", T.DateType())])
+    today = F.lit(ingestion_date).cast("date")
+    try:
+        stored = df.sparkSession.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        earlier = stored.filter(F.col("ingestion_date") == today).drop("ingestion_date")
+        landed = landed.unionByName(earlier.join(landed.select(key), key, "left_anti"))
     (
-        newest.hint("rebalance", "ingestion_date")
+        landed.withColumn("ingestion_date", today)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingestion_date")
@@ -170,11 +174,6 @@ def land_records(df: DataFrame, path: str, key: str, arrival: str) -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns, types and NOT NULL keys."""
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -79,18 +79,33 @@ def test_upsert_failure_leaves_the_table_alone(spark, warehouse):
 
 
 def test_land_records_replaces_same_day_reingest(spark, tmp_path):
-    schema = "ingestion_date DATE, identifier STRING, body STRING, seq INT"
     path = f"{tmp_path}/bronze"
-    tables.land_records(
-        spark.createDataFrame([(D1, "a", "1", 1), (D1, "b", "1", 2), (D2, "a", "1", 3)], schema), path, "identifier", "seq"
-    )
-    tables.land_records(
-        spark.createDataFrame([(D1, "a", "2", 4), (D1, "a", "3", 5), (D1, "c", "1", 6)], schema), path, "identifier", "seq"
-    )
+
+    def land(day, *rows):
+        df = spark.createDataFrame(rows, "identifier STRING, body STRING, seq INT")
+        tables.land_records(df, path, "identifier", "seq", day)
+
+    land("2024-01-01", ("a", "1", 1), ("b", "1", 2))
+    land("2024-01-02", ("a", "1", 3))
+    land("2024-01-01", ("a", "2", 4), ("a", "3", 5), ("c", "1", 6))
     got = sorted((r.ingestion_date, r.identifier, r.body) for r in spark.read.parquet(path).collect())
     assert got == [(D1, "a", "3"), (D1, "b", "1"), (D1, "c", "1"), (D2, "a", "1")]
 
 
+def test_stream_writes_json_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "m.jsonl").write_text(message() + "\nbroken\n", encoding="utf-8")
+    pipelines.event_pipeline(
+        landed.message_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/silver", f"{tmp_path}/audit", f"{tmp_path}/cp",
+        as_of=F.lit("2024-01-10 12:30:00").cast("timestamp"), once=True, fmt="json",
+    ).awaitTermination()
+    (event,) = landed.silver_events(spark, f"{tmp_path}/silver", "json").collect()
+    assert (event.location_id, event.measurement_age_hours, event.locality) == (8320, 1.5, None)
+    assert event.measurement_datetime.utc == "2024-01-10T11:00:00Z" and event.processed_at is not None
+    (line,) = spark.read.text(f"{tmp_path}/audit/*").collect()
+    assert json.loads(line["value"])["raw_message"] == "broken" and json.loads(line["value"])["location_id"] is None
+
+
 def test_daily_run(spark, tmp_path):
     house = Warehouse(spark, "daily")
     day = "2024-01-10"
