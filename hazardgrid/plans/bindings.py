@@ -67,8 +67,15 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivery events: order lines placed in the nation of their customer."""
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") % 5 != 0)
+    """Delivery events: all order lines, in the nation of their customer.
+
+    Every fifth nation delivers under the name of a hub, so that its own name
+    has no deliveries and the hub has neither weather nor air quality.
+    """
+    hub = F.concat(F.lit("HUB_"), F.col("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").withColumn(
+        "n_name", F.when(F.col("n_nationkey") % 5 == 0, hub).otherwise(F.col("n_name"))
+    )
     order_city = (
         table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -237,7 +244,10 @@ def message_columns(events: DataFrame) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station mapping: every user is a station, a third of them unmapped."""
+    """Station mapping: every user is a station, but not every station is mapped.
+
+    A third of the stations has no operating city and so no row in the mapping.
+    """
     return (
         table(spark, sf_dir, "events")
         .filter(F.col("user_id") % 3 != 0)

@@ -1,3 +1,5 @@
+from random import Random
+
 import pytest
 
 from hazardgrid import constants as C
@@ -151,3 +153,30 @@ def test_fixed_tables_are_broadcast_by_their_known_size(spark):
     plan = mapped._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "LocalTableScan" in lookups.station_seed(spark)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roll_up_against_a_loop(spark):
+    """Many alerts in few cities, with event texts that contain one another."""
+    random = Random(5)
+    names = ["Rain", "Heavy Rain", "Rain; Wind", "Wind", "Heavy Rain and Wind", "", "Fog", "Dense Fog"]
+    risks = {"Minor": 25.0, "Moderate": 50.0, "Severe": 80.0, "Extreme": 100.0, "Other": 0.0}
+    docs = []
+    for i in range(300):
+        area = random.choice(["Jawa Barat", "DKI Jakarta", "Jakarta", "Papua"])
+        docs.append((f"{i:04d}", random.choice(names), random.choice(list(risks)), area))
+    expected = {}
+    for name, event, severity, area in docs:
+        city = {"Jawa Barat": "Bandung", "DKI Jakarta": "Jakarta", "Jakarta": "Jakarta"}.get(area)
+        if city is None:
+            continue
+        cell = expected.setdefault(city, {"risk": 0.0, "n": 0, "events": "", "first": name})
+        cell["risk"] = max(cell["risk"], risks[severity])
+        cell["n"] += 1
+        if event and event not in cell["events"]:
+            cell["events"] = f"{cell['events']}; {event}" if cell["events"] else event
+    shuffled = random.sample(docs, len(docs))
+    got = daily(spark, [(n, cap(n, e, s, a)) for n, e, s, a in shuffled]).collect()
+    assert {
+        r.city: {"risk": r.weather_risk, "n": r.active_weather_alerts, "events": r.weather_event, "first": r.bmkg_alert_id}
+        for r in got
+    } == expected
