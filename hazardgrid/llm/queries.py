@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardgrid.llm import substrings
+from hazardgrid.llm import lshjoin, substrings, tokenids
 from hazardgrid.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,24 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file; ``TOKENIZERS_DIR`` overrides the installed ones."""
+    import public_tokenizers
+
+    folder = os.environ.get("TOKENIZERS_DIR")
+    return f"{folder}/{name}" if folder else public_tokenizers.path(name)
+
+
+@query
+def op1_token_ids(spark, sf):
+    return tokenids.token_ids(spark, table(spark, sf, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op2_ngram_jaccard_join(spark, sf):
+    return lshjoin.join_similar(spark, table(spark, sf, "documents"))
+
+
 @query
 def op6_substring_dedup(spark, sf):
     cut = substrings.remove_repeated(spark, table(spark, sf, "documents"))

@@ -35,3 +35,52 @@ def repeated_windows(docs, width=50):
         kept = [x for i, x in enumerate(w) if i not in gone]
         out.append((doc_id, len(w), len(gone), " ".join(kept)))
     return out
+
+
+def shingles(text, n=5):
+    w = words(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1)))
+
+
+def components(nodes, links):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in nodes}
+
+
+def similar(docs, threshold=0.8, n=5):
+    """docs: {doc_id: text} -> {doc_id: (class_id, n_links, component_id)}."""
+    sets = {d: shingles(t, n) for d, t in docs.items()}
+    holders = {}
+    for d, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(d)
+    links = []
+    for d, s in sets.items():
+        shared = {}
+        for x in s:
+            for o in holders[x]:
+                if o > d:
+                    shared[o] = shared.get(o, 0) + 1
+        links += [(d, o) for o, c in shared.items() if c >= threshold * (len(s) + len(sets[o]) - c) - 1e-9]
+    count = dict.fromkeys(docs, 0)
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    same = {}
+    for d, t in docs.items():
+        key = tuple(words(t)) or d
+        same[key] = min(same.get(key, d), d)
+    comp = components(docs, links)
+    return {d: (same[tuple(words(t)) or d], count[d], comp[d]) for d, t in docs.items()}
