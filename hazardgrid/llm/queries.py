@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardgrid.llm import lshjoin, substrings, tokenids
+from hazardgrid.llm import lshjoin, substrings, tokencount, tokenids, transducer
 from hazardgrid.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,17 @@ def op2_ngram_jaccard_join(spark, sf):
 def op6_substring_dedup(spark, sf):
     cut = substrings.remove_repeated(spark, table(spark, sf, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_sentencepiece_round_trip(spark, sf):
+    model = tokenizer("piece_bpe_32k.model")
+    coded = transducer.encode(table(spark, sf, "documents").select("doc_id", "text"), model)
+    return transducer.decode(coded, model).select(
+        "doc_id", "n_tokens", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op10_token_counts(spark, sf):
+    return tokencount.count_tokens(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))

@@ -1,0 +1,50 @@
+import pytest
+
+from hazardgrid.llm import pieces, queries, tokencount
+from tests.llm.test_transducer import ODD, noise
+
+tokenizers = pytest.importorskip("tokenizers")
+SF = "/root/testdata/sf0.01"
+PATH = queries.tokenizer("piece_bpe_32k.model")
+
+
+def library(model, fallback=True):
+    unigram = tokenizers.models.Unigram(list(zip(model.texts, model.scores)), model.unknown, fallback)
+    t = tokenizers.Tokenizer(unigram)
+    return lambda text: len(t.encode("▁" + text.replace(" ", "▁"), add_special_tokens=False).ids) if text else 0
+
+
+def test_query_equals_the_library(spark):
+    count = library(pieces.load(PATH))
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r.n_tokens for r in queries.QUERIES["op10_token_counts"](spark, SF).collect()}
+    assert got == {d: count(t) for d, t in docs.items()}
+
+
+def test_units_and_whole_texts_agree_with_the_library():
+    counter = tokencount.Counter(pieces.load(PATH))
+    assert counter.by_unit
+    count, texts = library(counter.model), ODD + noise(4, 800)
+    assert counter.counts(texts).tolist() == [count(t) for t in texts]
+    counter.by_unit = False
+    assert counter.counts([t for t in texts if "▁" not in t]).tolist() == [count(t) for t in texts if "▁" not in t]
+
+
+def test_ties_keep_the_longest_last_piece_and_unknown_runs_count_once():
+    texts, scores = ("<unk>", "▁", "a", "b", "ab", "aab", "aa", "c"), (0.0, -1.0, -1.0, -1.0, -2.0, -3.0, -2.0, -9.0)
+    model = pieces.Model(pieces.UNIGRAM, texts, scores, (pieces.UNKNOWN,) + (1,) * 7, 0, (), True)
+    counter, count = tokencount.Counter(model), library(model, False)
+    for text in ["aab", "aaab", "abab", "zz a", "zzbzz", "cz", "z z"]:
+        assert counter.counts([text]).tolist() == [count(text)], text
+    assert counter.count("▁aab") == 2
+
+
+def test_odd_rows(spark):
+    count = library(pieces.load(PATH))
+    docs = [(None, "no id"), (1, None), (2, ""), (3, "a  b\n"), (3, "a  b\n"), (4, "word " * 50000)]
+    df = spark.createDataFrame([(d, t, 5) for d, t in docs], "doc_id BIGINT, text STRING, n_tokens INT")
+    got = tokencount.count_tokens(df, PATH).collect()
+    assert sorted(map(str, got)) == sorted(
+        f"Row(doc_id={d}, n_tokens={count(t or '')})" for d, t in docs
+    )
+    assert tokencount.count_tokens(df.limit(0), PATH).count() == 0
