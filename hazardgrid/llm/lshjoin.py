@@ -15,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import words
 from hazardgrid.llm.batches import binaries, groups, lists, stored
-from hazardgrid.llm.graph import components
+from hazardgrid.llm.graph import components, roots
 
 _NO_ID = -(1 << 63)
 _SECOND = np.uint64(0xA5A3564E29C7F1D3)
@@ -155,19 +155,6 @@ def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """Smallest index reachable by links, per row."""
-    label = np.arange(len(linked))
-    while True:
-        rows, cols = np.nonzero(linked)
-        new = label.copy()
-        np.minimum.at(new, rows, label[cols])
-        new = np.minimum(new, new[new])
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in groups(batches, ["comp", "a", "b"]):
@@ -187,7 +174,7 @@ def _verify(threshold: float):
             links = linked @ size
             hit = np.flatnonzero(links)
             if len(hit):
-                root = _roots(linked)
+                root = roots(len(rep), *np.nonzero(linked))
                 yield pa.record_batch(
                     {
                         "rep": pa.array(rep[hit], pa.int64()),
@@ -211,29 +198,28 @@ def _cells(members: DataFrame, threshold: float) -> DataFrame:
     members = members.withColumn("sc", F.floor(F.log("n") / F.lit(width)).cast("int"))
     classes = members.groupBy("comp", "sc").agg(F.count("*").alias("docs"), F.sum("n").alias("total"))
     blocks = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    whole = classes.groupBy("comp").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
-    whole = whole.select("comp", (blocks == 1).alias("small"))
-    classes = classes.select("comp", "sc", blocks.alias("nb")).join(whole, "comp")
-    around = classes.select("comp", "sc", "nb", "small")
-    for step, name in ((-1, "below"), (1, "above")):
-        other = classes.select("comp", (F.col("sc") - step).alias("sc"), F.col("nb").alias(name))
-        around = around.join(other, ["comp", "sc"], "left")
+    # A component has as many classes as the logarithm of its largest set at most.
+    classes = classes.withColumn("nb", blocks).groupBy("comp")
+    classes = classes.agg(
+        F.map_from_entries(F.collect_list(F.struct("sc", "nb"))).alias("nb"),
+        F.sum("docs").alias("docs"),
+        F.sum("total").alias("total"),
+    ).select("comp", "nb", (blocks == 1).alias("small"))
     code = lambda sc, s: F.shiftleft(sc.cast("bigint"), 32) + s
-    upto = lambda n: F.expr(f"sequence(0, {n} - 1)")
     sc, own = F.col("sc"), F.col("s")
     pair = lambda a, b: F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b"))
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    salts = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cells = F.concat(
-        F.transform(upto("nb"), lambda x: pair(code(sc, F.least(x, own)), code(sc, F.greatest(x, own)))),
-        F.when(F.col("above").isNotNull(), F.transform(upto("above"), lambda x: pair(code(sc, own), code(sc + 1, x))))
-        .otherwise(none),
-        F.when(F.col("below").isNotNull(), F.transform(upto("below"), lambda x: pair(code(sc - 1, x), code(sc, own))))
-        .otherwise(none),
+        F.transform(salts("here"), lambda x: pair(code(sc, F.least(x, own)), code(sc, F.greatest(x, own)))),
+        F.when(F.col("above") > 0, F.transform(salts("above"), lambda x: pair(code(sc, own), code(sc + 1, x)))).otherwise(none),
+        F.when(F.col("below") > 0, F.transform(salts("below"), lambda x: pair(code(sc - 1, x), code(sc, own)))).otherwise(none),
     )
     one = F.array(pair(F.lit(-1), F.lit(-1)))
     return (
-        members.join(around, ["comp", "sc"])
-        .withColumn("s", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+        members.join(classes, "comp")
+        .withColumns({"here": F.col("nb")[sc], "above": F.col("nb")[sc + 1], "below": F.col("nb")[sc - 1]})
+        .withColumn("s", F.pmod(F.xxhash64("rep"), F.col("here")).cast("int"))
         .select(
             "comp",
             F.when(F.col("small"), one).otherwise(cells).alias("cells"),
@@ -267,9 +253,9 @@ def join_similar(
     Defined cases: a text without words links with nothing and is a class
     alone; a text of fewer than n words has one shingle, all its words; a null
     id links with nothing (its ids are null, it is kept); a repeated row counts
-    once as a document and is returned each time; rows that share an id with
-    different texts are linked each through its own words. Columns other than
-    id and text are ignored. Links found are exact; a pair at the threshold is
+    once as a document and is returned each time; of different texts under one
+    id the first by hash takes part, the others link with exact copies only.
+    Columns other than id and text are ignored. Links found are exact; a pair at the threshold is
     missed with probability 1 - recall at most, similar pairs far less often.
     """
     level = matched_depth(threshold, trees, depth, recall)
@@ -292,15 +278,17 @@ def join_similar(
         known.groupBy(*key, "rid")
         .agg(F.min("tk").alias("tk"))
         .groupBy(*key)
-        .agg(F.min("rid").alias("rep"), F.min_by("tk", "rid").alias("tk"), F.count("*").alias("size")),
+        .agg(F.min("rid").alias("rep"), F.min_by("tk", "rid").alias("tk"), F.count("*").alias("size"))
+        .withColumn("joins", F.row_number().over(Window.partitionBy("rep").orderBy(*key)) == 1),
         "classes",
     )
-    at = known.join(classes.select("rep", "tk", *key), [*key, "tk"]).where("rid = rep")
+    joining = classes.where("joins").drop("joins")
+    at = known.join(joining.select("rep", "tk", *key), [*key, "tk"]).where("rid = rep")
     at = at.select("rep", F.explode("nodes").alias("node"))
     heads = at.groupBy("node").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     chains = at.join(heads.select("node", "lo"), "node").where("rep > lo")
     found = components(chains.select(F.col("lo").alias("a"), F.col("rep").alias("b")))
-    members = classes.join(found.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep")
+    members = joining.join(found.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep")
     cells = stored(spark, _cells(members, threshold), "cells")
     sets = (
         rows.join(cells.withColumnRenamed("rep", "rid"), ["rid", "tk"])
@@ -323,13 +311,13 @@ def join_similar(
     counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")).where("a <> b"))
     result = (
-        classes.join(counts, "rep", "left")
+        classes.join(counts.withColumn("joins", F.lit(True)), ["rep", "joins"], "left")
         .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
             *key,
             F.col("rep").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.when(F.col("joins"), F.coalesce("component", "rep")).otherwise(F.col("rep")).alias("component_id"),
         )
     )
     own = F.when(F.col("rid") != _NO_ID, F.col("rid"))

@@ -13,6 +13,7 @@ from hazardgrid.llm import (
     linequality,
     lshjoin,
     mixing,
+    rangejoin,
     substrings,
     tokencount,
     tokenids,
@@ -64,6 +65,11 @@ def op2_ngram_jaccard_join(spark, sf):
     return lshjoin.join_similar(spark, table(spark, sf, "documents"))
 
 
+@query
+def op3_embedding_near_dedup(spark, sf):
+    return rangejoin.join_near(spark, table(spark, sf, "embeddings"))
+
+
 @query
 def op4_source_mixing(spark, sf):
     plan = mixing.plan_mix(spark, table(spark, sf, "documents"))
