@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import (
+    langid,
     linededup,
     linequality,
     lshjoin,
@@ -76,6 +77,11 @@ def op4_source_mixing(spark, sf):
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_language_id(spark, sf):
+    return langid.identify(table(spark, sf, "documents"))
+
+
 @query
 def op6_substring_dedup(spark, sf):
     cut = substrings.remove_repeated(spark, table(spark, sf, "documents"))

@@ -84,3 +84,27 @@ def similar(docs, threshold=0.8, n=5):
         same[key] = min(same.get(key, d), d)
     comp = components(docs, links)
     return {d: (same[tuple(words(t)) or d], count[d], comp[d]) for d, t in docs.items()}
+
+
+_FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def line_key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(_FOLD)
+
+
+def deduped_lines(docs, min_chars=10):
+    """docs: (doc_id, text) rows -> (doc_id, n_lines, n_dropped, kept text) in order."""
+    holders = {}
+    for d, t in docs:
+        for line in (t or "").split("\n"):
+            if d is not None and len(line_key(line)) >= min_chars:
+                holders.setdefault(line_key(line), set()).add(d)
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        kept = [
+            x for x in lines if d is None or len(line_key(x)) < min_chars or d == min(holders[line_key(x)])
+        ]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
