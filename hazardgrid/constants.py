@@ -75,11 +75,6 @@ INGEST_AGE_REQUIRED_FIELDS = [
     "measurement_datetime",
 ]
 
-# Discovery limits: locations looked at, active locations kept, page size.
-MAX_LOCATIONS_CHECKED = 40
-MAX_ACTIVE_LOCATIONS = 10
-PAGE_SIZE = 100
-
 STREAM_WINDOW = "60 seconds"
 STREAM_EARLY_TRIGGER = "30 seconds"
 

@@ -10,10 +10,11 @@ def round_half_up(value: Column, digits: int) -> Column:
     """Round half away from zero after removing floating-point noise.
 
     An average of doubles depends in its last bits on the order of addition,
-    which a cluster does not fix. Going through a 6-digit decimal first makes
-    the rounded result the same on every run.
+    which a cluster does not fix. Cutting those off at twelve digits first makes
+    a tie fall the same way on every run; values of any size pass, infinities
+    and NaN unchanged.
     """
-    return F.round(value.cast("decimal(28,6)"), digits).cast("double")
+    return F.round(F.round(value, 12), digits)
 
 
 def round_half_even(value: Column, digits: int) -> Column:
@@ -36,8 +37,8 @@ def round_half_even(value: Column, digits: int) -> Column:
         .when(half_way & (error < 0), product - 0.5)
         .otherwise(nearest)
     )
-    # Beyond 2^45 the product has no fraction left to decide on.
-    return F.when(F.abs(product) < F.lit(float(2**45)), rounded / F.lit(scale)).otherwise(value)
+    # From 2^52 on the product has no fraction left to decide on.
+    return F.when(F.abs(product) < F.lit(float(2**52)), rounded / F.lit(scale)).otherwise(value)
 
 
 def _upper_half(value: Column) -> Column:

@@ -17,16 +17,3 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give per-row parsing all cores when its input has fewer splits than cores.
-
-    A Parquet row group is read by one task, so a small input can leave most of
-    the cluster idle during CPU-heavy parsing. An input with at least as many
-    splits as cores, which every large one has, is returned unchanged and is
-    not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -1,17 +1,15 @@
 """Select locations and recent PM2.5 measurements and shape them into events.
 
-The inputs are landed frames: locations in source order (``pos``), recent
-measurements, and sensor metadata.
+The inputs are landed frames: locations, measurements, and sensor metadata. All
+of them are looked at; how many requests a client would have needed plays no part.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hazardgrid import constants as C
-from hazardgrid.functions import times
 from hazardgrid.functions.text import lower_or_empty, upper_or_empty
 
 
@@ -39,67 +37,29 @@ def recent(measurements: DataFrame, as_of: Column) -> DataFrame:
     return measurements.filter(taken >= as_of - F.expr(f"INTERVAL {C.FRESHNESS_HOURS} HOURS"))
 
 
-def location_page(locations: DataFrame) -> DataFrame:
-    """The locations one request returns, in source order."""
-    return locations.orderBy(F.col("pos").asc_nulls_last()).limit(C.PAGE_SIZE)
-
-
-def checked_locations(locations: DataFrame) -> DataFrame:
-    """The first locations in source order, each marked valid or not.
-
-    At most ``MAX_LOCATIONS_CHECKED`` rows: the limit becomes a top-k per task,
-    and the result is what makes the broadcasts below safe.
-    """
+def judged_locations(locations: DataFrame) -> DataFrame:
+    """All locations, each marked valid or not."""
     location = F.struct(*[F.col(c) for c in locations.columns])
-    return (
-        locations.orderBy(F.col("pos").asc_nulls_last())
-        .limit(C.MAX_LOCATIONS_CHECKED)
-        .select(
-            "pos",
-            location.alias("location"),
-            has_id(F.col("id")).alias("has_id"),
-            in_country(location).alias("in_country"),
-        )
+    return locations.select(
+        location.alias("location"), has_id(F.col("id")).alias("has_id"), in_country(location).alias("in_country")
     )
 
 
 def inspected_measurements(
     locations: DataFrame, measurements: DataFrame, sensors: DataFrame, as_of: Column
 ) -> DataFrame:
-    """One page of recent measurements per valid location, with sensor metadata.
+    """All recent measurements of the valid locations, with sensor metadata.
 
-    Sizes are bounded by the limits: 40 locations, 100 measurements each. The
-    big inputs are reduced by broadcasting those bounded sides and are never
-    shuffled whole. Which 100 measurements a page holds is not fixed by the
-    source; the newest are taken. The page is used twice; it keeps one set of
-    columns so that both uses share one shuffle and one scan.
+    Plain joins on the location and on the sensor: Catalyst broadcasts the
+    metadata while their measured size allows it.
     """
-    valid = checked_locations(locations).filter("has_id AND in_country")
-    page = (
+    valid = judged_locations(locations).filter("has_id AND in_country")
+    known = sensors.groupBy(F.col("id").alias("sensorsId")).agg(F.min("parameter").alias("parameter"))
+    return (
         recent(measurements, as_of)
         .select("locationsId", "sensorsId", "value", "datetime")
-        .join(F.broadcast(valid.select("pos", F.col("location.id").alias("locationsId"))), "locationsId")
-        .withColumn(
-            "item",
-            F.row_number().over(
-                Window.partitionBy("pos", "locationsId").orderBy(
-                    F.col("datetime").desc_nulls_last(),
-                    F.col("sensorsId").asc_nulls_last(),
-                    F.col("value").asc_nulls_last(),
-                )
-            ),
-        )
-        .filter(F.col("item") <= C.PAGE_SIZE)
-    )
-    wanted = page.select(F.col("sensorsId").alias("id")).filter(has_id(F.col("id"))).distinct()
-    known = (
-        sensors.join(F.broadcast(wanted), "id", "left_semi")
-        .groupBy(F.col("id").alias("sensorsId"))
-        .agg(F.min("parameter").alias("parameter"))
-    )
-    return (
-        page.join(F.broadcast(known), "sensorsId", "left")
-        .join(F.broadcast(valid.select("pos", "location")), "pos")
+        .join(valid.select(F.col("location.id").alias("locationsId"), "location"), "locationsId")
+        .join(known, "sensorsId", "left")
         .withColumn("usable", has_id(F.col("sensorsId")) & is_pm25(F.col("parameter")))
     )
 
@@ -111,16 +71,8 @@ def discovered_events(
     as_of: Column,
     ingestion_timestamp: Column | None = None,
 ) -> DataFrame:
-    """PM2.5 observations of the active locations, flattened to events."""
-    # Locations are visited in order until enough of them turned out active; a
-    # location is active if it has a usable measurement. At most 40 pages exist,
-    # so ranking them in a single window is bounded work.
-    published = (
-        inspected_measurements(locations, measurements, sensors, as_of)
-        .filter("usable")
-        .withColumn("_rank", F.dense_rank().over(Window.orderBy("pos")))
-        .filter(F.col("_rank") <= C.MAX_ACTIVE_LOCATIONS)
-    )
+    """PM2.5 observations of the valid locations, flattened to events."""
+    published = inspected_measurements(locations, measurements, sensors, as_of).filter("usable")
     stamp = ingestion_timestamp
     if stamp is None:
         stamp = F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
@@ -147,38 +99,27 @@ def discovered_events(
 def discovery_summary(
     locations: DataFrame, measurements: DataFrame, sensors: DataFrame, as_of: Column
 ) -> DataFrame:
-    """Counters of one discovery run as a single row."""
-    checked = checked_locations(locations)
-    per_location = (
+    """Counts over all locations and their recent measurements, as a single row."""
+    valid = F.col("has_id") & F.col("in_country")
+    places = judged_locations(locations).agg(
+        F.count(F.lit(1)).alias("locations_discovered"),
+        F.count_if(valid).alias("locations_checked"),
+        F.count_if(F.col("has_id") & ~F.col("in_country")).alias("non_indonesia_skipped"),
+    )
+    readings = (
         inspected_measurements(locations, measurements, sensors, as_of)
-        .groupBy("pos")
+        .groupBy("locationsId")
         .agg(
             F.count(F.lit(1)).alias("measurements"),
             F.count_if("usable").alias("pm25"),
             F.count_if(has_id(F.col("sensorsId")) & ~F.col("usable")).alias("non_pm25"),
         )
+        .agg(
+            F.count_if(F.col("pm25") > 0).alias("active_locations"),
+            F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements_checked"),
+            F.coalesce(F.sum("pm25"), F.lit(0)).alias("pm25_found"),
+            F.coalesce(F.sum("non_pm25"), F.lit(0)).alias("non_pm25_skipped"),
+        )
     )
-    all_rows = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    quota_filled = F.col("_before") >= C.MAX_ACTIVE_LOCATIONS
-    active = (F.coalesce(F.col("pm25"), F.lit(0)) > 0).cast("int")
-    valid = F.col("has_id") & F.col("in_country")
-    # Invalid locations are counted until the run stops at the first valid
-    # location after the quota is filled.
-    visited = (
-        checked.join(F.broadcast(per_location), "pos", "left")
-        .withColumn("_before", F.coalesce(F.sum(active).over(before), F.lit(0)))
-        .withColumn("_stop", F.min(F.when(valid & quota_filled, F.col("pos"))).over(all_rows))
-        .filter(F.col("_stop").isNull() | (F.col("pos") < F.col("_stop")))
-    )
-    total = location_page(locations).agg(F.count(F.lit(1)).alias("locations_discovered"))
-    counters = visited.agg(
-        F.count_if(valid).alias("locations_checked"),
-        F.count_if(F.col("has_id") & ~F.col("in_country")).alias("non_indonesia_skipped"),
-        F.count_if(valid & (active == 1)).alias("active_locations"),
-        F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements_checked"),
-        F.coalesce(F.sum("pm25"), F.lit(0)).alias("pm25_found"),
-        F.coalesce(F.sum("non_pm25"), F.lit(0)).alias("non_pm25_skipped"),
-    )
-    merged = total.unionByName(counters, allowMissingColumns=True)
+    merged = places.unionByName(readings, allowMissingColumns=True)
     return merged.agg(*[F.max(c).alias(c) for c in merged.columns]).withColumn("published", F.col("pm25_found"))

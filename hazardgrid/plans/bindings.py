@@ -13,12 +13,9 @@ from pyspark.sql import types as T
 
 from hazardgrid import constants as C
 from hazardgrid import schemas
-from hazardgrid.functions.staging import spread
 
 AS_OF = "2024-01-20 00:00:00"
 FEED_URL = "https://alerts.example/feeds/id/rss.xml"
-MESSAGE_TYPES = ["view", "click", "purchase"]
-ALERT_TYPES = ["error", "signup"]
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -103,8 +100,7 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = events_table(spark, sf_dir).filter(F.col("event_type").isin(ALERT_TYPES))
-    return spread(events.select("event_id", "ts", "user_id"))
+    return events_table(spark, sf_dir).select("event_id", "ts", "user_id")
 
 
 def _alert_id() -> Column:
@@ -187,17 +183,12 @@ def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PM2.5 event messages with their publish time (see ``message_columns``)."""
-    return message_columns(spread(_message_events(events_table(spark, sf_dir))))
-
-
-def _message_events(events: DataFrame) -> DataFrame:
-    kept = events.filter(F.col("event_type").isin(MESSAGE_TYPES))
-    return kept.select("event_id", "ts", "user_id", "value")
+    return message_stream(events_table(spark, sf_dir))
 
 
 def message_stream(events: DataFrame) -> DataFrame:
-    """The messages of a stream of event rows."""
-    return message_columns(_message_events(events))
+    """The messages of a frame or stream of event rows."""
+    return message_columns(events.select("event_id", "ts", "user_id", "value"))
 
 
 def message_columns(events: DataFrame) -> DataFrame:
@@ -277,7 +268,8 @@ def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     write = lambda key: F.to_json(F.struct(*head, severity.alias(key), *rest), {"ignoreNullFields": "false"})
     text = F.when(_every(2), write("severity")).otherwise(write("weather_severity"))
     return (
-        spread(events_table(spark, sf_dir).select("event_id", "ts", "user_id", "value"))
+        events_table(spark, sf_dir)
+        .select("event_id", "ts", "user_id", "value")
         .select("event_id", text.alias("value"))
         .select(F.col("event_id").alias("row_id"), _cut("value", 53, 5).alias("value"))
     )
@@ -287,7 +279,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monitoring locations: customers in key order."""
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
-        key.cast("int").alias("pos"),
+        key.alias("pos"),
         key.alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("locality"),
@@ -342,12 +334,11 @@ def unobserved_cell(spark: SparkSession) -> DataFrame:
     )
 
 
-def earlier_daily(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    """Content of a daily table before an upsert: (event_date, city, n) of one event type."""
+def earlier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content of a daily table before an upsert: (event_date, city, n), a day behind the events."""
     city = F.concat(F.lit("NATION_"), F.col("user_id") % 25)
     return (
         events_table(spark, sf_dir)
-        .filter(F.col("event_type") == event_type)
-        .groupBy(F.to_date("ts").alias("event_date"), city.alias("city"))
+        .groupBy(F.date_sub(F.to_date("ts"), 1).alias("event_date"), city.alias("city"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from hazardgrid.functions import lookups
-from hazardgrid.functions.staging import spread
 from hazardgrid.operators import airquality, alerts, arearisk, delivery, events, quality
 from hazardgrid.session import configure
 from hazardgrid.sinks import jsonlines, tables
@@ -30,7 +29,7 @@ def process_alerts(
     processed_at: Column | None = None,
 ) -> DataFrame:
     """Daily weather records of the landed alert objects (of the given dates)."""
-    objects = spread(landed.alert_objects(warehouse.spark, bronze_root, dates))
+    objects = landed.alert_objects(warehouse.spark, bronze_root, dates)
     mapped = alerts.map_alerts(
         alerts.parse_alerts(objects),
         lookups.province_cities(warehouse.spark) if provinces is None else provinces,
@@ -66,7 +65,7 @@ def run_weather(
 
 def validate_events(messages: DataFrame, as_of: Column | None = None, lenient: bool = False) -> DataFrame:
     """Batch form of the event stream: messages with their verdict."""
-    parsed = events.parse_messages(spread(messages))
+    parsed = events.parse_messages(messages)
     return events.validate_ingest_age(parsed) if lenient else events.validate_strict(parsed, as_of)
 
 
@@ -113,7 +112,7 @@ def run_daily(
     """The whole daily run after the stream has filled Silver."""
     prepare(warehouse)
     run_weather(warehouse, alerts_root, handover, dates)
-    run_air_quality(warehouse, landed.silver_events(warehouse.spark, silver_path))
+    run_air_quality(warehouse, landed.silver_events(warehouse.spark, silver_path, dates=dates))
     run_delivery(warehouse)
     run_gold(warehouse)
     run_checks(warehouse)

@@ -110,7 +110,7 @@ def weather_upsert(spark, sf):
         "active_weather_alerts": F.col("n"),
         "bmkg_alert_id": F.lit("earlier"),
     }
-    target = B.earlier_daily(spark, sf, "view").select(
+    target = B.earlier_daily(spark, sf).select(
         *[
             fill.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schemas.ENVIRONMENT_RISK_DAILY
@@ -183,7 +183,7 @@ def air_quality_daily(spark, sf):
 @query
 def air_quality_upsert(spark, sf):
     source = airquality.air_quality_daily(_latest(spark, sf), B.as_of())
-    target = B.earlier_daily(spark, sf, "click").select(
+    target = B.earlier_daily(spark, sf).select(
         "event_date",
         "city",
         F.lit(1.0).alias("avg_pm25"),
@@ -221,19 +221,10 @@ def area_risk_daily(spark, sf):
     return _gold(spark, sf)
 
 
-def _stored(spark, name, df):
-    """A daily signal written to the shared folder and read back, as the batch does."""
-    path = f"{_run_dir(spark, name)}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @query
 def area_risk_daily_joined(spark, sf):
-    """Gold by spine and joins over the stored daily signals."""
-    names = ("delivery", "environment", "air")
-    stored = [_stored(spark, n, s) for n, s in zip(names, _signals(spark, sf))]
-    return arearisk.score(arearisk.combine_by_joins(*stored))
+    """Gold by spine and joins; the batch runs it over the stored daily signals."""
+    return arearisk.score(arearisk.combine_by_joins(*_signals(spark, sf)))
 
 
 @query
@@ -269,7 +260,6 @@ def _rounded(df):
 @query
 def dq_not_null(spark, sf):
     deliveries, environment, air = _signals(spark, sf)
-    deliveries = _stored(spark, "delivery", deliveries)
     gold = arearisk.area_risk_daily(deliveries, environment, air)
     prefix = lambda df, name: df.withColumn("check_name", F.concat(F.lit(name + "."), "check_name"))
     not_null = [c for c in quality.gold_checks() if c.name.startswith("not_null")]
@@ -345,8 +335,11 @@ def _run_dir(spark, name):
 
 
 def _event_stream(spark, sf):
-    """The events table as a file stream."""
-    stream = spark.readStream.schema(B.TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events table as a file stream, be it one file or a folder of parts.
+
+    The path is given as a pattern, as a stream does not take the path of a file.
+    """
+    stream = spark.readStream.schema(B.TABLES["events"]).parquet(f"{sf}/events.parque[t]")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. None of them sizes the cluster: shuffle width, memory
@@ -50,14 +48,12 @@ def build_session(app_name: str = "hazardgrid", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local-mode session, where driver and executors share one machine,
-    may fall back to a temporary folder of its own.
+    Only a local-mode session without that setting may fall back, to a folder
+    in its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        fallback = tempfile.mkdtemp(prefix="hazardgrid-")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        return fallback
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
     raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
