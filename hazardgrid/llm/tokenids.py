@@ -13,10 +13,13 @@ Within a shard segments and documents ascend by doc_id, and so do the shards.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,19 @@ SEGMENT_IDS, FILE_SEGMENTS = 1 << 18, 16
 #: Stands for a null id; such documents come first.
 _NO_ID = -(1 << 63)
 
+# Byte classes between which that pattern always splits: letters, digits (each
+# alone) and marks other than the apostrophe. Longer characters but the letters
+# of Latin-1 stay in class 0, next to which nothing is cut.
+_KIND = np.zeros(256, np.uint8)
+for _c in range(0x21, 0x7F):
+    _KIND[_c] = 1 if chr(_c).isalpha() else 2 if chr(_c).isdigit() else 3
+_KIND[ord("'")] = 0
+
+_PLAIN = re.compile(
+    rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[%s]+"
+    % re.escape(bytes(np.flatnonzero(_KIND == 3).astype(np.uint8)))
+)
+
 # Fixed value: the split pattern of tokenizers that drop white space and never join across it.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -44,8 +60,8 @@ class BatchTokenizer:
     """Ids of texts by a tokenizers file, exactly as its ``encode`` gives them.
 
     If the file splits at white space and drops it, a text's ids are those of
-    its words in order, so each distinct word is encoded once. Words are
-    separated by a special token, which the library never joins with its
+    its words in order, and likewise of letters, digits and marks inside a
+    word, so each distinct part is encoded once. Parts are separated by a special token, which the library never joins with its
     neighbours. Lower-casing beforehand saves words; it is done only within
     Latin-1, where it commutes with the library's own normalization.
     """
@@ -54,8 +70,6 @@ class BatchTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        import json
-
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -65,6 +79,8 @@ class BatchTokenizer:
             self.mark = self.special[0]
             self.mark_id = self.tokenizer.token_to_id(self.mark)
             self.lower = any(n["type"] == "Lowercase" for n in spec["normalizer"]["normalizers"])
+            size = self.tokenizer.get_vocab_size()
+            self.ends_word = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)])
             self.memo = WordMemo(self._encode_words)
 
     def _drops_space(self, spec: dict) -> bool:
@@ -77,16 +93,30 @@ class BatchTokenizer:
             and steps[0]["invert"]
             and kinds <= {"NFC", "Replace", "Lowercase"}
             and spec.get("post_processor") is None
+            and spec["model"].get("end_of_word_suffix") == "</w>"
             and self.special
             and all(t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec["added_tokens"])
             and all(t.startswith("<|") and " " not in t for t in self.special)
         )
 
     def _encode_words(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        text = self.mark.join(w.decode() for w in found)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        cuts = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]])
-        return ids[ids != self.mark_id], np.diff(cuts) - 1
+        """Parts that the pattern takes whole end with a word-end piece, so they can be
+        encoded together, a space apart; other parts are set apart by the special token."""
+        plain = np.array([_PLAIN.fullmatch(w) is not None for w in found], dtype=bool)
+        sizes = np.zeros(len(found), np.int64)
+        text = [w.decode() for w, p in zip(found, plain) if p]
+        joined = [" ".join(text[i : i + 100]) for i in range(0, len(text), 100)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        whole = np.concatenate([np.empty(0, np.uint32), *ids])
+        sizes[plain] = np.diff(np.concatenate([[-1], np.flatnonzero(self.ends_word[whole])]))
+        rest = self._whole(self.mark.join(w.decode() for w, p in zip(found, plain) if not p))
+        if not plain.all():
+            cuts = np.concatenate([[-1], np.flatnonzero(rest == self.mark_id), [len(rest)]])
+            sizes[~plain] = np.diff(cuts) - 1
+        out = np.empty(int(sizes.sum()), np.uint32)
+        own = np.repeat(plain, sizes)
+        out[own], out[~own] = whole, rest[rest != self.mark_id]
+        return out, sizes
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -99,14 +129,29 @@ class BatchTokenizer:
         direct = {k: self._whole(t) for k, t in enumerate(texts) if "<|" in t}
         ready = ["" if k in direct else self._prepared(t) for k, t in enumerate(texts)]
         data, offsets = words.text_buffer(pa.array(ready, pa.large_string()))
-        starts, ends, first = words.spans(data, offsets)
+        starts, ends, _ = words.spans(data, offsets)
+        cuts = self._cuts(data, offsets)
+        starts, ends = (np.sort(np.concatenate([x, cuts])) for x in (starts, ends))
         ids, bounds = self.memo.spread(self.memo.find(data, starts, ends))
-        bounds = bounds[first]
+        bounds = bounds[np.searchsorted(starts, offsets)]
         if not direct:
             return ids, bounds
         each = [direct.get(k, ids[a:b]) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))]
         return np.concatenate(each), np.cumsum([0, *map(len, each)])
 
+    @staticmethod
+    def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Places inside words where the pattern always splits."""
+        kind = _KIND[data]
+        pair = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & ((data[1:] & 0x5F) != 0x17))
+        kind[pair] = kind[pair + 1] = 1
+        before, after = kind[:-1], kind[1:]
+        cut = (before > 0) & (after > 0) & ((before != after) | (before == 2))
+        cut = np.flatnonzero(cut) + 1
+        edge = np.zeros(len(data) + 1, dtype=bool)
+        edge[offsets] = True
+        return cut[~edge[cut]]
+
     def _prepared(self, text: str) -> str:
         if self.lower:
             try:
@@ -117,6 +162,12 @@ class BatchTokenizer:
         return text
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> BatchTokenizer:
+    """One per worker process: what a task learned serves the next one."""
+    return BatchTokenizer(path)
+
+
 def pack(shard: int, segment: int, doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     coded, offsets, literals = simple8b.encode(ids)
     head = [MAGIC, shard, segment, len(doc_ids), len(ids), len(coded), len(offsets) - 1, len(literals)]
@@ -150,7 +201,7 @@ def unpack(content: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, n
 
 def _write(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = BatchTokenizer(path)
+        tokenizer = _tokenizer(path)
         shard = TaskContext.get().partitionId()
         segment, held_docs, held_ids, held = 0, [], [], 0
 
