@@ -8,22 +8,37 @@ from pyspark.sql import functions as F
 from hazardgrid.functions.staging import evaluate_once
 
 _OPTIONS = {"allowSingleQuotes": "false"}
-# Parsing continues behind the message up to this closing element, so text
-# after the object is noticed; on its own the reader stops at the brace.
-_CLOSING = ',{"":""}]'
 
 
 def with_object(df: DataFrame, text: Column, name: str) -> DataFrame:
     """Add ``map<string,string>`` of the JSON object in ``text`` as column ``name``.
 
     Anything but one whole object is null. Nested values are kept as JSON text
-    and numbers as their text.
+    and numbers as their text; of a repeated key the last value counts.
+
+    On its own the reader stops at the object's brace. The message is therefore
+    followed by a closing element, named by the message's own digest, which no
+    message can contain: only if that is the second element did nothing else
+    stand behind the object.
     """
+    digest = F.md5(text)
     wrapped = F.from_json(
-        F.concat(F.lit("["), text, F.lit(_CLOSING)), "array<map<string,string>>", _OPTIONS
+        F.concat(F.lit("["), text, F.lit(',{"'), digest, F.lit('":""}]')), "array<map<string,string>>", _OPTIONS
     )
-    only_object = F.when(F.size("_elements") == 2, F.col("_elements")[0])
-    return evaluate_once(df.withColumn("_elements", wrapped), name, only_object).drop("_elements")
+    elements = F.col("_elements")
+    closed = F.map_contains_key(F.get(elements, F.lit(1)), F.col("_digest"))
+    only_object = F.when((F.size(elements) == 2) & closed, _last_values(F.get(elements, F.lit(0))))
+    marked = df.withColumn("_elements", wrapped).withColumn("_digest", digest)
+    return evaluate_once(marked, name, only_object).drop("_elements", "_digest")
+
+
+def _last_values(obj: Column) -> Column:
+    """The map with one entry per key, the last one."""
+    keys = F.map_keys(obj)
+    entries = F.map_entries(obj)
+    later = lambda e, i: F.exists(F.slice(keys, i + 2, F.size(keys)), lambda k: k == e["key"])
+    single = F.map_from_entries(F.filter(entries, lambda e, i: ~later(e, i)))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), single).otherwise(obj)
 
 
 def lacks(obj: Column, key: str) -> Column:

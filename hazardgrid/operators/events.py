@@ -25,7 +25,7 @@ CURRENT, STALE, FUTURE, UNKNOWN = "CURRENT", "STALE", "FUTURE", "UNKNOWN"
 
 EVENT_COLS = schemas.EVENT.fieldNames()
 SILVER_COLS = schemas.SILVER_EVENT.fieldNames()
-AUDIT_COLS = [*SILVER_COLS, "raw_message", "record_json"]
+AUDIT_COLS = [*SILVER_COLS, "raw_message"]
 _INTERNAL = ["_message", "_obj", "_missing", "_measured_at", "_ingested_at", "_age", "_error"]
 
 
@@ -188,9 +188,10 @@ def _finish(
         "processed_at": processed_at,
         "validation_status": F.when(rejected, INVALID).otherwise(VALID),
         "validation_error": F.when(rejected, F.col("_verdict.error")),
-        # Rejects of the parser keep the message, other rejects their record.
+        # Rejects of the parser keep the message, all others their record, and
+        # with it the keys that are no column.
         "raw_message": F.when(~parsed, F.col("_message")),
-        "record_json": F.when(parsed & rejected, F.col("_message")),
+        "record_json": F.when(parsed, F.col("_message")),
     }
     return judged.select(
         *others, *EVENT_COLS, *[enrichment[c].alias(c) for c in AUDIT_COLS if c not in EVENT_COLS]
@@ -209,14 +210,6 @@ def audit_events(validated: DataFrame) -> DataFrame:
     return validated.filter(F.col("validation_status") == INVALID).select(*extra, *AUDIT_COLS)
 
 
-def merge_rejects(*frames: DataFrame) -> DataFrame:
-    """Bag union of reject frames whose columns differ; absent columns are null."""
-    merged, *rest = frames
-    for frame in rest:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    return merged
-
-
 def to_message(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows as JSON text in ``value``, null fields written out."""
     fields = F.struct(*[F.col(c) for c in (columns or df.columns)])

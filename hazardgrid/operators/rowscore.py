@@ -13,7 +13,7 @@ from hazardgrid.operators.events import message_text
 
 SCORED_COLS = [
     "event_id", "event_ts", "city", "severity", "pm25", "delay_rate",
-    "risk_score", "risk_band", "processed_at",
+    "risk_score", "risk_band", "processed_at", "record",
 ]
 
 
@@ -22,7 +22,8 @@ def score_rows(messages: DataFrame, message: str = "value", processed_at: Column
 
     The severity is read from ``severity`` when that key exists, even if its
     value is null, and from ``weather_severity`` otherwise. The band is that of
-    the rounded score.
+    the rounded score. ``record`` keeps the whole text of a scored record, and
+    with it the keys that the scorer does not know.
     """
     text, kept = message_text(messages, message)
     others = [c for c in messages.columns if c != message]
@@ -58,6 +59,7 @@ def score_rows(messages: DataFrame, message: str = "value", processed_at: Column
         judged.withColumn("risk_score", F.when(good, round_half_even(F.col("_score"), 2)))
         .withColumn("risk_band", F.when(good, scoring.band(F.col("risk_score"))))
         .withColumn("processed_at", F.current_timestamp() if processed_at is None else processed_at)
+        .withColumn("record", F.when(good, F.col("_raw")))
         .withColumn("raw", F.when(~good, F.col("_raw")))
         .withColumn("error", F.when(~good, F.col("_error")))
         .select(*others, *SCORED_COLS, "raw", "error")

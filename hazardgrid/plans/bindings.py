@@ -58,6 +58,12 @@ def _cut(name: str, n: int, characters: int) -> Column:
     return F.when(_every(n), F.substring(text, F.lit(1), F.length(text) - characters)).otherwise(text)
 
 
+def _followed(name: str, n: int) -> Column:
+    """The text of a column, in every n-th row with text behind it that ends an array."""
+    text = F.col(name)
+    return F.when(_every(n), F.concat(text, F.lit(",{}] {"))).otherwise(text)
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Stored without a zone; the values are UTC.
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -195,11 +201,18 @@ def message_columns(events: DataFrame) -> DataFrame:
     """Event rows as JSON messages; faults repeat with the event id.
 
     Negative value (17), other parameter (23), out of bounds (29), value key
-    absent (31), cut-off JSON (37), unreadable time (41), value in quotes (43).
+    absent (31), cut-off JSON (37), unreadable time (41), value in quotes (43),
+    text behind the object (47), a second value key (59), no utc (61), a huge
+    value (1009), an infinite one (1013).
     """
-    number = F.when(_every(17), -F.col("value")).otherwise(F.col("value"))
+    number = (
+        F.when(_every(1009), 1e25)
+        .when(_every(1013), float("inf"))
+        .when(_every(17), -F.col("value"))
+        .otherwise(F.col("value"))
+    )
     moment = F.struct(
-        F.when(_every(41), "garbage").otherwise(F.date_format("ts", _ISO)).alias("utc"),
+        F.when(_every(61), F.lit(None)).when(_every(41), "garbage").otherwise(F.date_format("ts", _ISO)).alias("utc"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("local"),
     )
     ingested = F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 36).cast("int"))
@@ -228,9 +241,13 @@ def message_columns(events: DataFrame) -> DataFrame:
         .when(_every(43), write(number.cast("string").alias("value")))
         .otherwise(write(number.alias("value")))
     )
+    # The writer puts quotes around an infinite number.
+    text = F.regexp_replace(text, '"value":"Infinity"', '"value":Infinity')
+    text = F.when(_every(59), F.regexp_replace(text, r"\}$", ',"value":-5.5}')).otherwise(text)
     return (
         events.select("event_id", F.col("ts").alias("published_at"), text.alias("value"))
         .withColumn("value", _cut("value", 37, 5))
+        .withColumn("value", _followed("value", 47))
     )
 
 
@@ -251,7 +268,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records holding all three signals, as JSON; every 53rd is cut off."""
+    """Records holding all three signals, as JSON; every 53rd is cut off, every 47th has text behind it."""
     severity = F.element_at(
         F.array(*[F.lit(s) for s in ("Minor", "Moderate", " SEVERE ", "extreme", "Unknown", None)]),
         (F.col("event_id") % 6).cast("int") + 1,
@@ -271,7 +288,8 @@ def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         events_table(spark, sf_dir)
         .select("event_id", "ts", "user_id", "value")
         .select("event_id", text.alias("value"))
-        .select(F.col("event_id").alias("row_id"), _cut("value", 53, 5).alias("value"))
+        .select("event_id", _cut("value", 53, 5).alias("value"))
+        .select(F.col("event_id").alias("row_id"), _followed("value", 47).alias("value"))
     )
 
 
@@ -334,6 +352,30 @@ def unobserved_cell(spark: SparkSession) -> DataFrame:
     )
 
 
+def broken_delivery(spark: SparkSession) -> DataFrame:
+    """Delivery rows that break each not-null check, one more of them every time."""
+    return spark.sql(
+        """SELECT * FROM VALUES (NULL, 'A', 1L, 0.0D), (DATE '2024-02-01', NULL, 1L, 0.0D),
+        (DATE '2024-02-02', NULL, 1L, 0.0D), (DATE '2024-02-01', 'A', NULL, NULL),
+        (DATE '2024-02-02', 'A', NULL, NULL), (DATE '2024-02-03', 'A', NULL, NULL),
+        (DATE '2024-02-04', 'A', 1L, NULL) AS t(event_date, city, orders, delay_rate)"""
+    )
+
+
+def broken_gold(spark: SparkSession) -> DataFrame:
+    """Gold rows that break each check: null keys, score and band, range, unknown and wrong bands."""
+    return spark.sql(
+        """SELECT * FROM VALUES (NULL, 'A', 10.0D, 'LOW', 10.0D), (DATE '2024-02-01', NULL, 10.0D, 'LOW', 10.0D),
+        (DATE '2024-02-02', NULL, 10.0D, 'LOW', 10.0D), (DATE '2024-02-01', 'A', NULL, NULL, 10.0D),
+        (DATE '2024-02-02', 'A', 10.0D, NULL, 10.0D), (DATE '2024-02-03', 'A', -0.5D, 'LOW', 10.0D),
+        (DATE '2024-02-04', 'A', 100.5D, 'CRITICAL', 10.0D), (DATE '2024-02-05', 'A', 10.0D, 'SEVERE', 10.0D),
+        (DATE '2024-02-06', 'A', 25.0D, 'LOW', 10.0D), (DATE '2024-02-07', 'A', 75.0D, 'HIGH', 10.0D),
+        (DATE '2024-02-08', 'A', 49.99D, 'HIGH', 10.0D), (DATE '2024-02-09', 'A', 0.0D, 'INSUFFICIENT_DATA', 10.0D),
+        (DATE '2024-02-10', 'A', 0.0D, 'INSUFFICIENT_DATA', NULL)
+        AS t(event_date, city, risk_score, risk_band, weather_risk)"""
+    )
+
+
 def earlier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content of a daily table before an upsert: (event_date, city, n), a day behind the events."""
     city = F.concat(F.lit("NATION_"), F.col("user_id") % 25)

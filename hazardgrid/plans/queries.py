@@ -261,6 +261,8 @@ def _rounded(df):
 def dq_not_null(spark, sf):
     deliveries, environment, air = _signals(spark, sf)
     gold = arearisk.area_risk_daily(deliveries, environment, air)
+    deliveries = deliveries.unionByName(B.broken_delivery(spark), allowMissingColumns=True)
+    gold = gold.unionByName(B.broken_gold(spark), allowMissingColumns=True)
     prefix = lambda df, name: df.withColumn("check_name", F.concat(F.lit(name + "."), "check_name"))
     not_null = [c for c in quality.gold_checks() if c.name.startswith("not_null")]
     return prefix(quality.run_checks(deliveries, quality.delivery_checks()), "delivery").unionByName(
@@ -269,7 +271,9 @@ def dq_not_null(spark, sf):
 
 
 def _gold_check(spark, sf, name):
-    return quality.run_checks(_gold(spark, sf), [c for c in quality.gold_checks() if c.name == name])
+    """One check over gold and rows that are known to break it."""
+    rows = _gold(spark, sf).unionByName(B.broken_gold(spark), allowMissingColumns=True)
+    return quality.run_checks(rows, [c for c in quality.gold_checks() if c.name == name])
 
 
 @query

@@ -102,7 +102,7 @@ _VERDICT = _struct(
     validation_status=STRING,
     validation_error=STRING,
 )
-SILVER_EVENT = T.StructType([*EVENT.fields, *_VERDICT.fields])
+SILVER_EVENT = T.StructType([*EVENT.fields, *_VERDICT.fields, T.StructField("record_json", T.StringType())])
 
 STATION_MAPPING = _struct(
     ("location_id", "city", "mapping_method"),

@@ -109,15 +109,29 @@ def window_count_pipeline(
     output: str,
     checkpoint: str,
     published_at: str = "published_at",
+    late: str = "0 seconds",
     once: bool = False,
     every: str = C.STREAM_WINDOW,
 ) -> StreamingQuery:
-    """Append closed windows to a Parquet folder."""
+    """Append closed windows to a Parquet folder.
+
+    Records may arrive ``late`` by so much; ``late_records`` counts the ones
+    that came later still and are in no window.
+    """
     writer = (
-        window_counts(validated, published_at)
+        window_counts(validated, published_at, late)
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", output)
         .option("checkpointLocation", checkpoint)
     )
     return _start(writer, once, every)
+
+
+def late_records(query: StreamingQuery) -> int:
+    """Records left out so far because they came behind the watermark."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

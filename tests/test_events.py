@@ -52,7 +52,7 @@ def test_valid_event_is_enriched(spark):
     assert (row.validation_status, row.validation_error, row.freshness_status) == ("VALID", None, "CURRENT")
     assert row.measurement_age_hours == 1.5
     assert row.location_name == "Stasiun é" and row.measurement_datetime.utc == "2024-01-10T11:00:00Z"
-    assert row.raw_message is None and row.record_json is None
+    assert row.raw_message is None and row.record_json == message()
 
 
 def test_parse_rejects(spark):
@@ -187,19 +187,26 @@ def test_bytes_messages(spark):
     assert by_status["INVALID"].raw_message == '{"a":"�"}'
 
 
-def test_routing_and_reject_union(spark):
+def test_routing_keeps_every_record(spark):
     df = spark.createDataFrame([(message(),), (message(value=-1),), ("bad",)], "value STRING")
     checked = events.validate_strict(events.parse_messages(df), F.lit(AS_OF).cast("timestamp"))
-    assert events.silver_events(checked).count() == 1
-    audit = events.audit_events(checked)
-    assert audit.count() == 2
-    # One pass over the stream equals the union of both reject streams.
-    parse = audit.filter("raw_message IS NOT NULL").select(
-        "processed_at", "validation_status", "validation_error", "raw_message"
-    )
-    rules = audit.filter("raw_message IS NULL").drop("raw_message")
-    merged = events.merge_rejects(parse, rules).select(*audit.columns)
-    assert merged.exceptAll(audit).isEmpty() and audit.exceptAll(merged).isEmpty()
+    silver = events.silver_events(checked).collect()
+    assert [r.record_json for r in silver] == [message()]
+    audit = {(r.raw_message, r.record_json) for r in events.audit_events(checked).collect()}
+    assert audit == {("bad", None), (None, message(value=-1))}
+
+
+def test_text_behind_the_object_and_repeated_keys(spark):
+    plain = message()
+    texts = [
+        plain + '{"a":1}]', plain + ",{}]", plain + ",{}] junk", plain + "]", plain + ",", "[" + plain + "]",
+        plain[:-1] + ', "value": -5}', plain[:-1] + ', "value": 7}', plain + "  ",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, value STRING")
+    checked = events.validate_strict(events.parse_messages(df), F.lit(AS_OF).cast("timestamp"))
+    got = {r.i: (r.validation_error, r.value) for r in checked.collect()}
+    assert all(got[i] == ("JSON_PARSE_ERROR", None) for i in range(6))
+    assert got[6] == ("NEGATIVE_VALUE", -5.0) and got[7] == (None, 7.0) and got[8][0] is None
 
 
 def test_to_message_keeps_nulls_and_unicode(spark):

@@ -98,7 +98,7 @@ def test_date_filter_on_gold_reaches_all_scans(spark, tmp_path):
 def test_upsert_shuffles_each_side_once(spark):
     """The uniqueness check and the merge join share the source's partitioning."""
     schema = "event_date DATE, city STRING, a BIGINT"
-    target = bindings.earlier_daily(spark, SF_DIR, "view").withColumnRenamed("n", "a")
+    target = bindings.earlier_daily(spark, SF_DIR).withColumnRenamed("n", "a")
     source = spark.createDataFrame([], schema)
     plan = plan_of(upsert.upsert(target, source, ["event_date", "city"], ["a"]), "simple")
     assert plan.count("Exchange hashpartitioning") == 2

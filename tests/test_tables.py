@@ -187,19 +187,16 @@ def landed_frames(spark):
 
 def test_discovery_against_a_loop(spark):
     expected, active, checked, skipped, seen, other = [], 0, 0, 0, 0, 0
-    for pos in range(1, 41):
+    for pos in range(1, 61):
         if pos == 7:
             continue
         if pos % 10 == 0 or pos % 11 == 0:
             skipped += 1
             continue
-        if active >= 10:
-            break
         checked += 1
-        # The newest 100; the row without sensor is the oldest but one.
-        rows = 100 if pos == 1 else 3
-        seen += rows
-        usable = 100 if pos == 1 else 2
+        # One more row has no sensor, and an old one is left out.
+        usable = 120 if pos == 1 else 2
+        seen += usable + 1
         if pos % 3 == 0:
             other += usable
         else:
