@@ -35,6 +35,64 @@ def utf8_text(binary: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
+# Encodings an XML declaration may name, by the names Spark decodes them under.
+_ENCODINGS = {
+    "utf-8": "UTF-8",
+    "utf8": "UTF-8",
+    "us-ascii": "US-ASCII",
+    "ascii": "US-ASCII",
+    "iso-8859-1": "ISO-8859-1",
+    "latin-1": "ISO-8859-1",
+    "utf-16": "UTF-16",
+    "utf-16be": "UTF-16BE",
+    "utf-16le": "UTF-16LE",
+}
+_DECLARED = r"""^(?:\xEF\xBB\xBF)?<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']"""
+
+
+def xml_text(binary: Column) -> Column:
+    """Bytes of an XML document as text, in the encoding it declares.
+
+    Without a declaration a byte order mark or UTF-8 counts. Bytes that are not
+    valid in that encoding, or an encoding that is not known, give null.
+    """
+    head = F.decode(F.substring(binary, 1, 200), "ISO-8859-1")
+    marked = F.when(F.hex(F.substring(binary, 1, 2)).isin("FEFF", "FFFE"), "utf-16")
+    name = F.coalesce(marked, F.nullif(F.lower(F.regexp_extract(head, _DECLARED, 1)), F.lit("")), F.lit("utf-8"))
+    text = F.when(name.isin("utf-8", "utf8"), utf8_text(binary))
+    for written, charset in _ENCODINGS.items():
+        if charset != "UTF-8":
+            text = text.when(name == written, F.decode(binary, charset))
+    # The text is no longer in that encoding, so it must not declare it.
+    return F.regexp_replace(text, r"^\uFEFF?<\?xml[^>]*\?>", "")
+
+
+# Prolog (comments and instructions) in front of the root element, and what may follow it.
+_PROLOG = r"(?s)^\uFEFF?\s*+(?:(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*+>)\s*+)*+"
+_EPILOG = r"\s*+(?:(?:<\?.*?\?>|<!--.*?-->)\s*+)*+$"
+
+
+def root_tag(xml: Column) -> Column:
+    """Name and attributes of the root element, as written in its start tag."""
+    return F.regexp_extract(xml, _PROLOG + r"<([^\s/>!?][^>]*+)>", 1)
+
+
+def closes_root(xml: Column, tag: Column) -> Column:
+    """Whether the document ends with the end tag of its root element (or is that one empty tag)."""
+    name = F.regexp_extract(tag, r"^([^\s/]+)", 1)
+    tail = F.regexp_extract(xml, r"(?s)</([^\s>]+)\s*>" + _EPILOG, 1)
+    return (name != "") & ((tail == name) | tag.endswith("/"))
+
+
+def namespace_of(tag: Column) -> Column:
+    """Namespace that a start tag binds to its own prefix; empty if it binds none."""
+    prefix = F.regexp_extract(tag, r"^([^\s:/]+):", 1)
+    attribute = F.when(prefix == "", "xmlns").otherwise(F.concat(F.lit("xmlns:"), prefix))
+    pairs = F.regexp_extract_all(tag, F.lit(r"""\s([^\s=]+)\s*=\s*("[^"]*"|'[^']*')"""), F.lit(0))
+    own = F.filter(pairs, lambda p: F.regexp_extract(p, r"^\s([^\s=]+)", 1) == attribute)
+    return F.coalesce(F.regexp_extract(F.get(own, F.lit(0)), r"""=\s*["'](.*)["']$""", 1), F.lit(""))
+
+
 def utf8_lossy(binary: Column) -> Column:
     """Bytes as text with undecodable bytes replaced, for audit copies."""
     return F.make_valid_utf8(binary.cast("string"))

@@ -10,11 +10,14 @@ from hazardgrid import schemas
 from hazardgrid.functions import lookups, times
 from hazardgrid.functions.text import (
     alert_identifier,
+    closes_root,
     fold_texts,
+    namespace_of,
     resolve_link,
+    root_tag,
     strip_ws,
     text_or_null,
-    utf8_text,
+    xml_text,
 )
 
 _XML = {"ignoreNamespace": "true"}
@@ -22,26 +25,37 @@ _XML = {"ignoreNamespace": "true"}
 PARSED, MALFORMED, NO_INFO, NO_DATE = "PARSED", "MALFORMED_XML", "NO_INFO", "NO_INGESTION_DATE"
 
 
+_HIDDEN = r"(?s)<!--.*?-->"
+_ITEM = r"(?s)<item(?:\s[^>]*+)?+(?<!/)>.*?</item\s*>"
+
+
+def _read_feeds(feeds: DataFrame, content: str) -> DataFrame:
+    """Feeds with their text (null without), and whether it is one whole document."""
+    keep = [c for c in feeds.columns if c != content]
+    text = F.col("_text")
+    read = feeds.select(*keep, F.explode(F.array(xml_text(F.col(content)))).alias("_text")).withColumn(
+        "_tag", root_tag(text)
+    )
+    # A document that is cut off or not well formed has no elements under its root.
+    parsed = F.from_xml(text, "_any STRING", {**_XML, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_any"})
+    whole = F.coalesce(closes_root(text, F.col("_tag")) & parsed["_any"].isNull(), F.lit(False))
+    return read.select(*keep, "_text", F.explode(F.array(whole)).alias("_whole"))
+
+
 def feed_links(feeds: DataFrame, feed_url: str, content: str = "content") -> DataFrame:
-    """One row per feed item that links to an alert document.
+    """One row per feed item, at any depth, that links to an alert document.
 
     The first link element of an item counts; items whose first link is empty
-    are dropped. Links are resolved against the feed's own address.
+    are dropped. Links are resolved against the feed's own address. Feeds that
+    are no whole document yield no rows; ``feed_rejects`` has them.
     """
-    feed = F.from_xml(utf8_text(F.col(content)), schemas.FEED_DOCUMENT, _XML)
-    none = F.array().cast(schemas.FEED_DOCUMENT["item"].dataType)
     keep = [c for c in feeds.columns if c != content]
+    items = F.regexp_extract_all(F.regexp_replace("_text", _HIDDEN, ""), F.lit(_ITEM), F.lit(0))
     return (
-        feeds.select(*keep, feed.alias("_feed"))
-        .select(
-            *keep,
-            F.posexplode(
-                F.concat(
-                    F.coalesce(F.col("_feed.channel.item"), none),
-                    F.coalesce(F.col("_feed.item"), none),
-                )
-            ).alias("item_pos", "_item"),
-        )
+        _read_feeds(feeds, content)
+        .filter("_whole")
+        .select(*keep, F.posexplode(items).alias("item_pos", "_xml"))
+        .withColumn("_item", F.from_xml("_xml", schemas.FEED_ITEM, _XML))
         .withColumn("_link", text_or_null(F.get("_item.link", F.lit(0))))
         .filter(F.col("_link").isNotNull())
         .withColumn("url", resolve_link(feed_url, F.col("_link")))
@@ -50,6 +64,13 @@ def feed_links(feeds: DataFrame, feed_url: str, content: str = "content") -> Dat
     )
 
 
+def feed_rejects(feeds: DataFrame, content: str = "content") -> DataFrame:
+    """Feeds that are no whole document, with the reason."""
+    keep = [c for c in feeds.columns if c != content]
+    reason = F.when(F.col("_text").isNull(), "UNDECODABLE").otherwise(MALFORMED)
+    return _read_feeds(feeds, content).filter("NOT _whole").select(*keep, reason.alias("parse_status"))
+
+
 def parse_alerts(objects: DataFrame) -> DataFrame:
     """Landed CAP objects (``path``, ``content``) to one row per object.
 
@@ -58,10 +79,10 @@ def parse_alerts(objects: DataFrame) -> DataFrame:
     date found in the path, whatever validity period the alert states.
     """
     stamp = F.nullif(F.regexp_extract("path", C.INGESTION_DATE_PATTERN, 1), F.lit(""))
-    text = utf8_text(F.col("content"))
     # The document is taken apart once: the explode keeps later filters on
     # parsed fields from being pushed down together with a copy of the parser.
-    document = F.explode(F.array(F.from_xml(text, schemas.CAP_DOCUMENT, _XML)))
+    text = F.col("_text")
+    document = F.explode(F.array(F.when(F.col("_closed"), F.from_xml(text, schemas.CAP_DOCUMENT, _XML))))
     info = F.get("_cap.info", F.lit(0))
     area = F.get(info["area"], F.lit(0))
     status = (
@@ -71,10 +92,13 @@ def parse_alerts(objects: DataFrame) -> DataFrame:
         .otherwise(PARSED)
     )
     return (
-        objects.select(
+        objects.select("path", F.explode(F.array(xml_text(F.col("content")))).alias("_text"))
+        .withColumn("_tag", root_tag(text))
+        .withColumn("_closed", closes_root(text, F.col("_tag")))
+        .select(
             "path",
             stamp.try_cast("date").alias("ingestion_date"),
-            F.contains(text, F.lit(C.CAP_NAMESPACE)).alias("_in_namespace"),
+            (namespace_of(F.col("_tag")) == C.CAP_NAMESPACE).alias("_in_namespace"),
             document.alias("_cap"),
         )
         .select(

@@ -116,7 +116,9 @@ def _alert_id() -> Column:
 def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CAP documents as landed objects (``path``, ``content``).
 
-    Every 50th uses a namespace prefix and every 97th is cut off.
+    Every 50th uses a namespace prefix, every 97th is cut off, every 101st is of
+    another namespace (and names the right one in a comment), every 103rd has
+    text behind its root, and every 107th is written in Latin-1 and says so.
     """
     events = _alert_events(spark, sf_dir)
     severity = F.element_at(
@@ -136,7 +138,7 @@ def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
             tag("certainty", F.lit("Observed")),
             tag("effective", stamp(F.col("ts"))),
             tag("expires", stamp(F.col("ts") + F.expr("INTERVAL 3 HOURS"))),
-            tag("headline", F.concat(F.lit("Alert "), F.col("event_id"))),
+            tag("headline", F.concat(F.when(_every(107), "Alerté ").otherwise("Alert "), F.col("event_id"))),
             tag(
                 "area",
                 F.concat(
@@ -145,8 +147,11 @@ def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ),
             ),
         )
+        other = F.when(_every(101), f'urn:other"><!-- "{C.CAP_NAMESPACE}" --').otherwise(f'{C.CAP_NAMESPACE}"')
         return F.concat(
-            F.lit(f'<{prefix}alert {xmlns}="{C.CAP_NAMESPACE}">'),
+            F.lit(f'<{prefix}alert {xmlns}="'),
+            other,
+            F.lit(">"),
             tag("identifier", _alert_id()),
             tag("info", info),
             F.lit(f"</{prefix}alert>"),
@@ -156,8 +161,12 @@ def alert_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(
         F.lit("/bronze/alerts/ingestion_date="), F.to_date("ts").cast("string"), F.lit("/"), _alert_id(), F.lit(C.CAP_FILE_SUFFIX)
     )
-    return events.select("event_id", path.alias("path"), whole.alias("content")).select(
-        "path", _cut("content", 97, 40).cast("binary").alias("content")
+    latin = F.encode(F.concat(F.lit('<?xml version="1.0" encoding="ISO-8859-1"?>'), F.col("content")), "ISO-8859-1")
+    return (
+        events.select("event_id", path.alias("path"), whole.alias("content"))
+        .withColumn("content", _cut("content", 97, 40))
+        .withColumn("content", F.when(_every(103), F.concat("content", F.lit("<x/>"))).otherwise(F.col("content")))
+        .select("path", F.when(_every(107), latin).otherwise(F.col("content").cast("binary")).alias("content"))
     )
 
 
@@ -169,7 +178,10 @@ def alert_provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One alert feed per alert event, with links of every relative form."""
+    """One alert feed per event, with links of every relative form and an item deeper down.
+
+    Every 89th is cut off and every 113th ends with a byte that is no UTF-8.
+    """
     name = F.concat(_alert_id(), F.lit(C.CAP_FILE_SUFFIX))
     item = lambda *parts: F.concat(F.lit("<item><title>t</title>"), *parts, F.lit("</item>"))
     link = lambda *parts: F.concat(F.lit("<link>"), *parts, F.lit("</link>"))
@@ -181,10 +193,17 @@ def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(link(F.lit("/cap/"), _alert_id(), F.lit("/"))),
         item(),
         item(F.lit("<link/>"), link(F.lit("ignored"))),
-        F.lit("</channel></rss>"),
+        F.lit("<group>"),
+        item(link(F.lit("https://alerts.example/deep/"), _alert_id())),
+        F.lit("</group><!-- "),
+        item(link(F.lit("https://alerts.example/hidden/"), _alert_id())),
+        F.lit(" --></channel></rss>"),
+    )
+    events = _alert_events(spark, sf_dir).select("event_id", content.alias("content"))
+    text = _cut("content", 89, 12).cast("binary")
+    return events.select(
+        "event_id", F.when(_every(113), F.concat(text, F.unhex(F.lit("FF")))).otherwise(text).alias("content")
     )
-    events = _alert_events(spark, sf_dir)
-    return events.select("event_id", content.cast("binary").alias("content"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +287,10 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combined_columns(events_table(spark, sf_dir))
+
+
+def combined_columns(events: DataFrame) -> DataFrame:
     """Records holding all three signals, as JSON; every 53rd is cut off, every 47th has text behind it."""
     severity = F.element_at(
         F.array(*[F.lit(s) for s in ("Minor", "Moderate", " SEVERE ", "extreme", "Unknown", None)]),
@@ -285,8 +308,7 @@ def combined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     write = lambda key: F.to_json(F.struct(*head, severity.alias(key), *rest), {"ignoreNullFields": "false"})
     text = F.when(_every(2), write("severity")).otherwise(write("weather_severity"))
     return (
-        events_table(spark, sf_dir)
-        .select("event_id", "ts", "user_id", "value")
+        events.select("event_id", "ts", "user_id", "value")
         .select("event_id", text.alias("value"))
         .select("event_id", _cut("value", 53, 5).alias("value"))
         .select(F.col("event_id").alias("row_id"), _followed("value", 47).alias("value"))

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardgrid import constants as C
 from hazardgrid import schemas
+from hazardgrid.functions import lookups, text, times
 from hazardgrid.operators import (
     airquality,
     alerts,
@@ -21,7 +23,9 @@ from hazardgrid.operators import (
     upsert,
 )
 from hazardgrid.plans import bindings as B
-from hazardgrid.session import configure, shared_dir
+from hazardgrid.session import configure, delete_dir, path_exists, shared_dir
+from hazardgrid.sinks import jsonlines
+from hazardgrid.sources import landed
 from hazardgrid.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +63,11 @@ def feed_links(spark, sf):
     return alerts.feed_links(B.feed_objects(spark, sf), B.FEED_URL)
 
 
+@query
+def feed_rejects(spark, sf):
+    return alerts.feed_rejects(B.feed_objects(spark, sf))
+
+
 @query
 def cap_alerts_parsed(spark, sf):
     return alerts.parse_alerts(B.alert_objects(spark, sf))
@@ -91,6 +100,35 @@ def weather_risk_daily(spark, sf):
     return daily.orderBy("event_date", "city")
 
 
+@query
+def weather_handover(spark, sf):
+    """The daily weather as it comes back from its hand-over file."""
+    out = _run_dir(spark, "handover")
+    jsonlines.write_weather_daily(alerts.weather_daily(_mapped(spark, sf)), out)
+    (daily,) = _taken(spark, out, landed.weather_daily_json(spark, out))
+    return daily.drop("processed_at")
+
+
+@query
+def landing_names(spark, sf):
+    """Object names under which feeds land: ingestion date folder and compact stamp."""
+    return B.events_table(spark, sf).select(
+        "event_id",
+        F.concat(
+            F.lit("ingestion_date="), F.to_date("ts").cast("string"), F.lit("/feed_"), times.compact_stamp(F.col("ts")), F.lit(".xml")
+        ).alias("name"),
+    )
+
+
+@query
+def undecodable_text(spark, sf):
+    """Bytes that are no UTF-8 in every third row: no text to parse, a repaired copy to keep."""
+    good = F.concat(F.lit("event é "), F.col("event_id")).cast("binary")
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(good, F.unhex(F.lit("C3")))).otherwise(good)
+    rows = B.events_table(spark, sf).select("event_id", raw.alias("raw"))
+    return rows.select("event_id", text.utf8_text(F.col("raw")).alias("strict"), text.utf8_lossy(F.col("raw")).alias("kept"))
+
+
 def _environment(spark, sf):
     return alerts.weather_load_rows(alerts.weather_daily(_mapped(spark, sf)))
 
@@ -197,6 +235,16 @@ def air_quality_upsert(spark, sf):
     return _text_times(merged, "processed_at")
 
 
+@query
+def station_lookup(spark, sf):
+    """City of the fixed stations by map and by seed table; every 23rd id is no station."""
+    ids = F.array(*[F.lit(r[0]).cast("bigint") for r in C.STATION_SEED], F.lit(1).cast("bigint"))
+    at = (F.col("user_id") % (len(C.STATION_SEED) + 1) + 1).cast("int")
+    rows = B.events_table(spark, sf).select("event_id", F.element_at(ids, at).alias("location_id"))
+    seed = lookups.station_seed(spark).select("location_id", F.col("city").alias("seed_city"))
+    return rows.withColumn("city", lookups.station_city(F.col("location_id"))).join(seed, "location_id", "left")
+
+
 # --- gold --------------------------------------------------------------------
 
 
@@ -338,6 +386,20 @@ def _run_dir(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _taken(spark, folder, *frames):
+    """Frames over files in ``folder``, kept as checkpoints; the folder is deleted."""
+    kept = [f.checkpoint() for f in frames]
+    delete_dir(spark, folder)
+    return kept
+
+
+def _written(spark, schema, path):
+    """What a stream wrote to ``path``; without any batch there is no folder."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _event_stream(spark, sf):
     """The events table as a file stream, be it one file or a folder of parts.
 
@@ -368,7 +430,8 @@ def stream_window_counts_closed(spark, sf):
     )
     pipelines.window_count_pipeline(checked, f"{out}/data", f"{out}/checkpoint", once=True).awaitTermination()
     schema = "window_start TIMESTAMP, window_end TIMESTAMP, validation_status STRING, records BIGINT"
-    return _window_columns(spark.read.schema(schema).parquet(f"{out}/data"))
+    (counts,) = _taken(spark, out, _written(spark, schema, f"{out}/data"))
+    return _window_columns(counts)
 
 
 @query
@@ -380,13 +443,30 @@ def stream_silver(spark, sf):
         stream, f"{out}/silver", f"{out}/audit", f"{out}/checkpoint", as_of=B.as_of(), once=True
     ).awaitTermination()
     extra = "event_id BIGINT, published_at TIMESTAMP, "
-    silver = spark.read.schema(extra + _ddl(schemas.SILVER_EVENT)).parquet(f"{out}/silver")
-    audit = spark.read.schema(extra + _ddl(schemas.SILVER_EVENT) + ", raw_message STRING").parquet(f"{out}/audit")
+    silver = _written(spark, extra + _ddl(schemas.SILVER_EVENT), f"{out}/silver")
+    audit = _written(spark, extra + _ddl(schemas.SILVER_EVENT) + ", raw_message STRING", f"{out}/audit")
     columns = ["event_id", "location_id", "measurement_age_hours", "validation_status", "validation_error"]
+    silver, audit = _taken(spark, out, silver.select(columns), audit.select(columns))
     return silver.select(F.lit("silver").alias("output"), *columns).unionByName(
         audit.select(F.lit("audit").alias("output"), *columns)
     )
 
 
+@query
+def stream_scores(spark, sf):
+    """Scores and dead letters written by the scoring stream over the table."""
+    out = _run_dir(spark, "scores")
+    stream = B.combined_columns(_event_stream(spark, sf))
+    pipelines.scoring_pipeline(stream, f"{out}/scored", f"{out}/checkpoint", B.as_of(), once=True).awaitTermination()
+    schema = "row_id BIGINT, risk_score DOUBLE, risk_band STRING, error STRING"
+    frames = []
+    for name in ("scored", "scored_dead_letter"):
+        found = path_exists(spark, f"{out}/{name}")
+        rows = spark.read.schema(schema).json(f"{out}/{name}") if found else spark.createDataFrame([], schema)
+        frames.append(rows.select(F.lit(name).alias("output"), "row_id", "risk_score", "risk_band", "error"))
+    scored, dead = _taken(spark, out, *frames)
+    return scored.unionByName(dead)
+
+
 def _ddl(schema):
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

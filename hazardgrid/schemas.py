@@ -32,8 +32,7 @@ CAP_DOCUMENT = _struct(
     ),
 )
 
-_FEED_ITEMS = T.ArrayType(_struct(link=T.ArrayType(STRING)))
-FEED_DOCUMENT = _struct(channel=_struct(item=_FEED_ITEMS), item=_FEED_ITEMS)
+FEED_ITEM = _struct(link=T.ArrayType(STRING))
 
 PROVINCE_CITY = _struct(area_desc=STRING, city=STRING)
 

@@ -45,6 +45,17 @@ def build_session(app_name: str = "hazardgrid", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
@@ -55,5 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
+        fallback = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
+        spark.sparkContext.setCheckpointDir(fallback)
+        return fallback
     raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")

@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 
 from hazardgrid import constants as C
 from hazardgrid import schemas
+from hazardgrid.session import path_exists
+
+
+_OBJECTS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def _objects(spark: SparkSession, root: str, glob: str, dates: list[str] | None) -> DataFrame:
     # Objects without a date folder may lie next to dated ones, which partition
     # discovery refuses; the date is taken from the path by the parser instead.
-    # Naming the dates keeps a daily run from listing the whole history.
-    paths = [f"{root}/ingestion_date={d}" for d in dates] if dates else [root]
+    # Naming the dates keeps a daily run from listing the whole history; a date
+    # on which nothing landed has no folder.
+    paths = [root]
+    if dates:
+        paths = [p for p in (f"{root}/ingestion_date={d}" for d in dates) if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], _OBJECTS)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
