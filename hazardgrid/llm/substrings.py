@@ -93,12 +93,19 @@ def _windows(width: int, gram: int):
                 owner = np.repeat(np.arange(j - i), np.diff(np.asarray(marks.offsets)))
                 hit = _pairs_in(row, named, owner, np.asarray(marks.flatten()))
                 at, row = at[hit], row[hit]
+                window = words.rolling(h, width, 3)[at].view(np.int64)
+                # One row per text and window, however often the text repeats it.
+                order = np.lexsort((at, window, row))
+                at, row, window = at[order], row[order], window[order]
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1])
+                one = np.flatnonzero(new)
                 yield pa.record_batch(
                     {
-                        "h": pa.array(words.rolling(h, width, 3)[at].view(np.int64)),
-                        "rid": batch.column("rid")[i:j].take(pa.array(row)),
-                        "tk": batch.column("tk")[i:j].take(pa.array(row)),
-                        "pos": pa.array(at - first[:-1][row], pa.int32()),
+                        "h": pa.array(window[one]),
+                        "rid": batch.column("rid")[i:j].take(pa.array(row[one])),
+                        "tk": batch.column("tk")[i:j].take(pa.array(row[one])),
+                        "pos": lists((at - first[:-1][row]).astype(np.int32), np.append(one, len(at)), pa.int32()),
                     }
                 )
 
@@ -212,14 +219,14 @@ def remove_repeated(
     found = (
         rows.join(marks, ["rid", "tk"])
         .select("rid", "tk", "text", "marks")
-        .mapInArrow(_windows(width, gram), "h bigint, rid bigint, tk bigint, pos int")
+        .mapInArrow(_windows(width, gram), "h bigint, rid bigint, tk bigint, pos array<int>")
     )
     earliest = found.groupBy("h").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi")
     covered = (
         found.join(earliest.select("h", "lo"), "h")
         .where("rid > lo")
         .groupBy("rid", "tk")
-        .agg(F.collect_list("pos").alias("at"))
+        .agg(F.flatten(F.collect_list("pos")).alias("at"))
     )
     decided = covered.withColumn("whole", F.lit(False)).unionByName(
         copies.withColumn("at", F.lit(None).cast("array<int>"))
