@@ -25,6 +25,9 @@ from hazardgrid.llm import words
 
 #: Trigram buckets, documents per language that are learned from (expected), and languages at most.
 BUCKETS, TRAIN_DOCS, MAX_LANGUAGES = 1 << 16, 4000, 256
+#: Trigrams that a text counts for at most; a longer text's odds are averaged to as many, so
+#: that its score tells how uniform its language is and not how long it is.
+EVIDENCE = 20
 #: Every this many-th document by crc32 of its id is held out.
 FOLDS = 5
 #: What no language is given to.
@@ -155,8 +158,10 @@ def decide(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nd
     bucket, offsets = _grams(texts)
     n = len(offsets) - 1
     loss = np.zeros((n, len(model.languages)))
+    grams = np.add.reduceat((bucket > 0).astype(np.int64), offsets[:-1])
+    scale = np.minimum(1.0, EVIDENCE / np.maximum(grams, 1))
     for b in range(model.codes.shape[1]):
-        margin = np.add.reduceat(model.odds[b][bucket], offsets[:-1])
+        margin = np.add.reduceat(model.odds[b][bucket], offsets[:-1]) * scale
         for sign in (1, -1):
             cost = model.weights[b] * np.logaddexp(0, -sign * margin)
             loss[:, model.codes[:, b] == sign] += cost[:, None]
