@@ -41,12 +41,26 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: it is computed once,
-    and a lost executor costs at most a reread."""
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    and a lost executor costs at most a reread. The folder goes when the
+    application ends."""
+    path = run_folder(spark, name)
     df.write.parquet(path)
+    drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder."""
+    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the store delete the run's folder when the application ends; results that are
+    read later than that must be written elsewhere by then."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def lists(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     """List column from flat values and n+1 offsets."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))

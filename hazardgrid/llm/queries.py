@@ -20,7 +20,7 @@ from hazardgrid.llm import (
     tokenids,
     transducer,
 )
-from hazardgrid.session import configure
+from hazardgrid.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,7 @@ BATCH_BYTES = 16 << 20
 
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
+    shared_dir(spark)  # where that is unset, it names one for checkpoints
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,9 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import simple8b, words
-from hazardgrid.llm.batches import stored
+from hazardgrid.llm.batches import drop_at_exit, run_folder, stored
 from hazardgrid.llm.memo import WordMemo
-from hazardgrid.session import shared_dir
 
 MAGIC = int.from_bytes(b"S8B-IDS1", "little")
 HEADER = 8
@@ -313,6 +311,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int | None = 1) -> DataFrame:
     """Write the ids of ``docs`` to the shared folder and read them back."""
-    folder = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/ids"
+    folder = run_folder(spark, "ids")
     write_ids(spark, docs, tokenizer_path, folder, end_id)
+    drop_at_exit(spark, folder)
     return read_ids(spark, folder)
