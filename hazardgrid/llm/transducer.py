@@ -14,6 +14,7 @@ words of a batch side by side.
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ _LONG = 48
 _CACHE = 1 << 20
 
 
+codecs.register_error("each-byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
+
+
 def merge(text: str, rank: dict[str, float]) -> tuple[list[str], tuple[str, str] | None]:
     """Symbols left when the best-ranked neighbours are merged, leftmost first; and the last merge."""
     symbols: list[str | None] = list(text)
@@ -300,11 +304,11 @@ class Transducer:
         return ids, bounds[first]
 
     def decode(self, ids: list[int]) -> str:
-        """Text of piece ids; the mark put in front is taken off, broken bytes become U+FFFD."""
+        """Text of piece ids; the mark put in front is taken off, each broken byte becomes U+FFFD."""
         raw = b"".join(map(self.table.__getitem__, ids))
         if self.model.dummy_prefix and raw.startswith(b" "):
             raw = raw[1:]
-        return raw.decode("utf-8", "replace")
+        return raw.decode("utf-8", "each-byte")
 
 
 @lru_cache(maxsize=2)
