@@ -138,3 +138,13 @@ def test_band_edges(one):
 def test_compact_stamp(spark):
     row = spark.sql("SELECT TIMESTAMP '2024-01-05 07:08:09' AS t").select(times.compact_stamp(V("t")).alias("s"))
     assert row.first()["s"] == "20240105T070809Z"
+
+
+def test_rounding_of_large_and_odd_values(one):
+    inf = float("inf")
+    values = [351843720888.336, 2.0**51 + 0.25, 1e25, -1e25, 0.5, None]
+    assert one(numbers.round_half_even(V("v"), 2), "DOUBLE", values) == [
+        None if v is None else round(v, 2) for v in values
+    ]
+    odd = [1e25, inf, -inf, 0.0049999999, 2.675, 0.005, None]
+    assert one(numbers.round_half_up(V("v"), 2), "DOUBLE", odd) == [1e25, inf, -inf, 0.0, 2.68, 0.01, None]
