@@ -87,7 +87,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
         _, sizes = words.text_buffer(batch.column("text"))
-        for i, j in words.chunks(sizes, words.CHUNK_BYTES // 2):
+        for i, j in words.chunks(sizes):
             bucket, offsets = _grams(batch.column("text")[i:j])
             for lang in set(langs[i:j].tolist()):
                 rows = np.repeat(langs[i:j] == lang, np.diff(offsets))
@@ -178,7 +178,7 @@ def _predict(model: Model, margin: float, names: list[str]):
         for batch in batches:
             texts = batch.column("llm_text")
             _, sizes = words.text_buffer(texts)
-            for i, j in words.chunks(sizes, words.CHUNK_BYTES // 2):
+            for i, j in words.chunks(sizes):
                 letter = np.asarray(batch.column("llm_letter")[i:j].to_pylist(), dtype=bool)
                 if model.languages:
                     best, score, gap = decide(model, texts[i:j])

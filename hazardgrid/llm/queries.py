@@ -27,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 #: Arrow batches by bytes, so that long texts do not pile up in one batch.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once (a longer text makes a chunk alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Bytes for which powers and sums are held at once.
 SEGMENT = 1 << 18
 
