@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import (
+    hadamard,
     langid,
     linededup,
     linequality,
@@ -119,6 +120,11 @@ def op10_token_counts(spark, sf):
     return tokencount.count_tokens(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op12_centroid_clustering(spark, sf):
+    return hadamard.cluster(spark, table(spark, sf, "embeddings"))
+
+
 ORACLES["op8_line_dedup"] = r"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -268,3 +274,42 @@ SELECT l.doc_id, l.size, l.source_size, l.target,
 FROM laid l JOIN selected s ON s.sno = l.sno AND s.shard = l.shard
 LEFT JOIN extra e ON e.sno = l.sno AND e.shard = l.shard AND e.doc_id = l.doc_id AND e.place = l.place
 """
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other: distances component by component, floors of exact sums."""
+    steps = ["""WITH vecs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x::DOUBLE)]) = 64
+), parts AS MATERIALIZED (
+  SELECT rid, unnest(range(64)) AS pos, unnest(v)::BIGINT AS x FROM vecs
+), firsts AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id), vec_id, v) - 1 AS cl FROM vecs
+  WHERE vec_id IS NOT NULL
+), c0 AS MATERIALIZED (
+  SELECT cl, pos, x FROM firsts JOIN parts USING (rid) WHERE cl < %d
+)""" % k]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, cl, d FROM (
+    SELECT rid, cl, d, row_number() OVER (PARTITION BY rid ORDER BY d, cl) AS near FROM (
+      SELECT rid, cl, sum((p.x - c.x) * (p.x - c.x)) AS d FROM parts p JOIN c{r} c USING (pos) GROUP BY rid, cl))
+  WHERE near = 1
+)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT cl, pos, sum(x)::BIGINT AS s, count(*) AS n FROM a{r} JOIN parts USING (rid) GROUP BY cl, pos
+), c{r + 1} AS MATERIALIZED (
+  SELECT cl, pos, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{r} LEFT JOIN m{r} USING (cl, pos)
+)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, cl::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY cl))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN vecs USING (rid)
+JOIN (SELECT cl, sha256(string_agg(x::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY cl) USING (cl)
+"""
+
+
+ORACLES["op12_centroid_clustering"] = _clustering_sql()

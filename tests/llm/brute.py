@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,3 +109,32 @@ def deduped_lines(docs, min_chars=10):
         ]
         out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
+
+
+def clusters(rows, k=8, rounds=10, seed="3"):
+    """rows: (vec_id, list or None) -> (vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256)."""
+    kept = []
+    for i, v in rows:
+        if v is not None and len(v) == 64 and None not in v and all(math.isfinite(x) for x in v):
+            ints = [math.floor(1024 * float(x)) if abs(x) < 1e300 else 1 << 60 for x in v]
+            if all(abs(x) < 1 << 56 for x in ints):
+                kept.append((i, ints))
+    known = [(sha(f"{seed}:{i}"), i, v) for i, v in kept if i is not None]
+    centers = [v for _, _, v in sorted(known)[:k]]
+
+    def nearest(v):
+        far = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centers]
+        return min(range(len(far)), key=lambda n: (far[n], n)), min(far)
+
+    for _ in range(rounds):
+        own = {}
+        for _, v in kept:
+            own.setdefault(nearest(v)[0], []).append(v)
+        centers = [
+            [sum(x) // len(own[c]) for x in zip(*own[c])] if c in own else centers[c] for c in range(len(centers))
+        ]
+    last = [(i, *nearest(v)) for i, v in kept]
+    fit = lambda x: x if x < 1 << 63 else None
+    of = {c: sum(d for _, n, d in last if n == c) for _, c, _ in last}
+    text = [sha(",".join(map(str, c))) for c in centers]
+    return [(i, c, fit(d), fit(of[c]), fit(sum(of.values())), text[c]) for i, c, d in last]
