@@ -20,6 +20,7 @@ from hazardgrid.llm import (
     tokencount,
     tokenids,
     transducer,
+    variants,
 )
 from hazardgrid.session import configure, shared_dir
 
@@ -120,6 +121,11 @@ def op10_token_counts(spark, sf):
     return tokencount.count_tokens(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op11_spelling_variants(spark, sf):
+    return variants.group_variants(spark, table(spark, sf, "documents"))
+
+
 @query
 def op12_centroid_clustering(spark, sf):
     return hadamard.cluster(spark, table(spark, sf, "embeddings"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -138,3 +139,45 @@ def clusters(rows, k=8, rounds=10, seed="3"):
     of = {c: sum(d for _, n, d in last if n == c) for _, c, _ in last}
     text = [sha(",".join(map(str, c))) for c in centers]
     return [(i, c, fit(d), fit(of[c]), fit(sum(of.values())), text[c]) for i, c, d in last]
+
+
+def variant_words(docs, least_size=5, least_n=3):
+    """docs: (doc_id, text) rows -> {word: n}."""
+    n = {}
+    for d, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(_FOLD)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] = n.get(run, 0) + 1
+    return {w: c for w, c in n.items() if len(w) >= least_size and c >= least_n}
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+
+def variants(n):
+    """{word: n} -> {word: (form, root, n, n_near, form_n)}."""
+    holders = {}
+    for w in n:  # two near words agree once the right code point of one or both is left out
+        for i in range(len(w) + 1):
+            holders.setdefault(w[:i] + w[i + 1 :], []).append(w)
+    near = {w: {x for i in range(len(w) + 1) for x in holders[w[:i] + w[i + 1 :]] if one_edit(w, x)} for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None)
+    return out
