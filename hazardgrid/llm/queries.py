@@ -17,6 +17,7 @@ from hazardgrid.llm import (
     mixing,
     rangejoin,
     substrings,
+    suffixdedup,
     tokencount,
     tokenids,
     transducer,
@@ -131,6 +132,12 @@ def op12_centroid_clustering(spark, sf):
     return hadamard.cluster(spark, table(spark, sf, "embeddings"))
 
 
+@query
+def op13_suffix_array_dedup(spark, sf):
+    cut = suffixdedup.remove_repeated(spark, table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 ORACLES["op8_line_dedup"] = r"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

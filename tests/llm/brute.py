@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -181,3 +182,22 @@ def variants(n):
             root = form[root]
         out[w] = (form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None)
     return out
+
+
+def repeated_bytes(docs, width=400):
+    """docs: (doc_id, text) rows -> (doc_id, n_bytes, spans, kept bytes) in order."""
+    data = [(t or "").encode() for _, t in docs]
+    digest = lambda b, i: hashlib.md5(b[i : i + width]).digest() if width > 16 else b[i : i + width]
+    times = Counter(digest(b, i) for b in data for i in range(len(b) - width + 1))
+    out = []
+    for (d, _), b in zip(docs, data):
+        spans = []
+        for i in range(len(b) - width + 1):
+            if times[digest(b, i)] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1] = (spans[-1][0], i + width)
+                else:
+                    spans.append((i, i + width))
+        ends = [0, *(x for s in spans for x in s), len(b)]
+        out.append((d, len(b), spans, b"".join(b[s:e] for s, e in zip(ends[::2], ends[1::2]))))
+    return out
