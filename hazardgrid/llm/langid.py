@@ -23,8 +23,10 @@ from pyspark.sql import types as T
 
 from hazardgrid.llm import words
 
-#: Trigram buckets, documents per language that are learned from (expected), and languages at most.
-BUCKETS, TRAIN_DOCS, MAX_LANGUAGES = 1 << 16, 4000, 256
+#: Trigram buckets, and documents per language that are learned from (expected).
+BUCKETS, TRAIN_DOCS = 1 << 16, 4000
+#: More languages than this get drawn codewords of a few bits per doubling.
+DENSE, BITS = 32, 20
 #: Trigrams that a text counts for at most; a longer text's odds are averaged to as many, so
 #: that its score tells how uniform its language is and not how long it is.
 EVIDENCE = 20
@@ -41,10 +43,15 @@ _CLASS[128:] = np.arange(27, 155)
 
 
 def codewords(n: int) -> np.ndarray:
-    """n codewords of +1 and -1: all distinct splits for a few languages, Hadamard rows for more."""
+    """n codewords of +1 and -1: all distinct splits for a few languages, Hadamard rows for
+    more, and for many the drawn code whose least distance is largest."""
     if n <= 5:
         columns = [c for c in product([1, -1], repeat=n) if c[0] == 1 and -1 in c]
         return np.array(columns, np.int64).reshape(len(columns), n).T if columns else np.ones((n, 0), np.int64)
+    if n > DENSE:
+        rng = np.random.default_rng(n)
+        drawn = [rng.choice([-1, 1], (n, BITS * (n - 1).bit_length())) for _ in range(16)]
+        return max(drawn, key=lambda c: -np.max(c @ c.T - 2 * len(c[0]) * np.eye(n)))
     order = 1
     matrix = np.ones((1, 1), np.int64)
     while order < 2 * n:
@@ -119,13 +126,14 @@ def fit(
     """Learn from rows that are not held out and have id, text and language.
 
     Of each language some ``train_docs`` documents are taken by a hash of their
-    id (all, if there are fewer), of the ``MAX_LANGUAGES`` most frequent ones.
+    id (all, if there are fewer). Every label is a language, however rare; the model
+    grows with their number.
     What meets on the driver is a count per language and bucket.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()  # a row per language
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model((), np.ones((0, 0), np.int64), np.zeros((0, BUCKETS)), np.zeros(0))

@@ -110,16 +110,21 @@ def removed_words(
         ),
         "lines",
     )
-    sizes = ids.where("rid is not null").groupBy("host").agg(F.count("*").alias("docs"))
+    sizes = ids.where("rid is not null").groupBy("host").agg(F.count_distinct("rid").alias("docs"))
     held = lines.select("host", "h", "g", "rid").distinct().groupBy("host", "h", "g")
     held = held.agg(F.count("*").alias("n"), F.min("rid").alias("first")).where(F.col("n") > min_docs)
     above = held.join(sizes, "host").where(F.col("n") > F.col("docs") * max_share)
-    return (
+    gone = (
         lines.join(above.select("host", "h", "g", "first"), ["host", "h", "g"])
         .where("rid > first")
         .groupBy("rid", "tk", "host")
         .agg(F.sum("words").alias("gone"))
     )
+    # Each row of a repeated document has brought its lines.
+    again = ids.groupBy("rid", "tk", "host").agg(F.count("*").alias("rows")).where("rows > 1")
+    return gone.join(again, ["rid", "tk", "host"], "left").select(
+        "rid", "tk", "host", F.expr("gone div coalesce(rows, 1)").alias("gone")
+    )
 
 
 def judge(

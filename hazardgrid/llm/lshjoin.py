@@ -23,7 +23,6 @@ from hazardgrid.llm.batches import binaries, groups, lists, stored
 from hazardgrid.llm.graph import components, roots
 
 _NO_ID = -(1 << 63)
-_SECOND = np.uint64(0xA5A3564E29C7F1D3)
 #: Bounds of one block of a cell.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 19
 #: Shingles in at most this many texts of a cell are counted pair by pair.
@@ -39,7 +38,7 @@ def matched_depth(threshold: float, trees: int, depth: int, recall: float) -> in
 
 
 def _shingles(texts: pa.Array, n: int) -> Iterator[tuple]:
-    """Row range, word hashes, word offsets, distinct shingle hashes and their offsets.
+    """Row range, digests of the words, distinct shingle hashes and their offsets.
 
     A text of one to n-1 words has one shingle, all its words.
     """
@@ -59,14 +58,7 @@ def _shingles(texts: pa.Array, n: int) -> Iterator[tuple]:
             else:
                 sets.append(h[:0])
         bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-        yield i, j, h, first, np.concatenate(sets), bounds
-
-
-def _row_hash(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    up, down = words._POWERS.upto(len(h) + 1)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * up[: len(h)], out=sums[1:])
-    return words.mix((sums[offsets[1:]] - sums[offsets[:-1]]) * down[offsets[:-1]])
+        yield i, j, words.digests(part, local), np.concatenate(sets), bounds
 
 
 def _nodes(flat: np.ndarray, bounds: np.ndarray, trees: int, level: int, seed: int) -> np.ndarray:
@@ -93,7 +85,7 @@ def _nodes(flat: np.ndarray, bounds: np.ndarray, trees: int, level: int, seed: i
 def _sketch(n: int, trees: int, level: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, h, first, flat, bounds in _shingles(batch.column("text"), n):
+            for i, j, keys, flat, bounds in _shingles(batch.column("text"), n):
                 counts = np.zeros(j - i, np.int64)
                 nodes = np.empty((0, trees), np.uint64)
                 if len(flat):
@@ -104,8 +96,8 @@ def _sketch(n: int, trees: int, level: int, seed: int):
                         "rid": batch.column("rid")[i:j],
                         "tk": batch.column("tk")[i:j],
                         "n": pa.array(np.diff(bounds), pa.int32()),
-                        "k1": pa.array(_row_hash(h, first).view(np.int64)),
-                        "k2": pa.array(_row_hash(words.mix(h ^ _SECOND), first).view(np.int64)),
+                        "k1": pa.array(keys[0]),
+                        "k2": pa.array(keys[1]),
                         "nodes": lists(
                             nodes.reshape(-1).view(np.int64), np.concatenate([[0], np.cumsum(counts)]), pa.int64()
                         ),
@@ -118,7 +110,7 @@ def _sketch(n: int, trees: int, level: int, seed: int):
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, _, _, flat, bounds in _shingles(batch.column("text"), n):
+            for i, j, _, flat, bounds in _shingles(batch.column("text"), n):
                 columns = {c: batch.column(c)[i:j] for c in ("comp", "cells", "block", "rep", "size")}
                 columns["shingles"] = binaries([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])])
                 yield pa.record_batch(columns)

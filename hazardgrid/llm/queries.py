@@ -186,7 +186,7 @@ WITH doc AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM line WHERE full_line GROUP BY doc_id
 ), above AS (
   SELECT l.host, key, min(doc_id) AS first FROM line l
-  JOIN (SELECT host, count(*) AS docs FROM doc GROUP BY host) h ON l.host = h.host
+  JOIN (SELECT host, count(DISTINCT doc_id) AS docs FROM doc GROUP BY host) h ON l.host = h.host
   WHERE full_line GROUP BY l.host, key, h.docs
   HAVING count(DISTINCT doc_id) > 50 AND count(DISTINCT doc_id) > 0.02::DOUBLE * h.docs
 ), gone AS (

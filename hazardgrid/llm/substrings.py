@@ -22,7 +22,6 @@ from hazardgrid.llm.batches import lists, stored
 
 #: Stands for a null id in joins.
 _NO_ID = -(1 << 63)
-_SECOND = np.uint64(0xA5A3564E29C7F1D3)
 
 
 def _sliding_min(g: np.ndarray, width: int) -> np.ndarray:
@@ -41,27 +40,21 @@ def _named_grams(h: np.ndarray, width: int, gram: int) -> np.ndarray:
     return _sliding_min(words.rolling(h, gram, 7), width - gram + 1)
 
 
-def _row_hash(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One hash per row over all its words."""
-    up, down = words._POWERS.upto(len(h) + 1)
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * up[: len(h)], out=sums[1:])
-    return words.mix((sums[offsets[1:]] - sums[offsets[:-1]]) * down[offsets[:-1]])
-
-
-def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Row range, word hashes and word offsets, for a bounded part of the rows at a time."""
+def _hashed(texts: pa.Array, second: bool) -> Iterator[tuple]:
+    """Row range, word hashes, word offsets and digests of the words or their second hashes,
+    for a bounded part of the rows at a time."""
     data, offsets = words.text_buffer(texts)
     for i, j in words.chunks(offsets):
         part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words.spans(part, local)
-        yield i, j, words.hashes(part, starts, ends), first
+        more = words.hashes(part, starts, ends, 1) if second else words.digests(part, local)
+        yield i, j, words.hashes(part, starts, ends), first, more
 
 
 def _sketch(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, h, first in _hashed(batch.column("text")):
+            for i, j, h, first, keys in _hashed(batch.column("text"), False):
                 at, bounds = words.doc_windows(first, width)
                 named = _named_grams(h, width, gram)[at]
                 new = np.ones(len(named), dtype=bool)
@@ -73,8 +66,8 @@ def _sketch(width: int, gram: int):
                         "rid": batch.column("rid")[i:j],
                         "tk": batch.column("tk")[i:j],
                         "n": pa.array(np.diff(first), pa.int32()),
-                        "k1": pa.array(_row_hash(h, first).view(np.int64)),
-                        "k2": pa.array(_row_hash(words.mix(h ^ _SECOND), first).view(np.int64)),
+                        "k1": pa.array(keys[0]),
+                        "k2": pa.array(keys[1]),
                         "named": lists(named[new].view(np.int64), kept, pa.int64()),
                     }
                 )
@@ -85,7 +78,7 @@ def _sketch(width: int, gram: int):
 def _windows(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, h, first in _hashed(batch.column("text")):
+            for i, j, h, first, h2 in _hashed(batch.column("text"), True):
                 at, bounds = words.doc_windows(first, width)
                 named = _named_grams(h, width, gram)[at].view(np.int64)
                 marks = batch.column("marks")[i:j]
@@ -94,15 +87,17 @@ def _windows(width: int, gram: int):
                 hit = _pairs_in(row, named, owner, np.asarray(marks.flatten()))
                 at, row = at[hit], row[hit]
                 window = words.rolling(h, width, 3)[at].view(np.int64)
+                other = words.rolling(h2, width, 5)[at].view(np.int64)
                 # One row per text and window, however often the text repeats it.
-                order = np.lexsort((at, window, row))
-                at, row, window = at[order], row[order], window[order]
+                order = np.lexsort((at, other, window, row))
+                at, row, window, other = at[order], row[order], window[order], other[order]
                 new = np.ones(len(at), dtype=bool)
-                new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1])
+                new[1:] = (row[1:] != row[:-1]) | (window[1:] != window[:-1]) | (other[1:] != other[:-1])
                 one = np.flatnonzero(new)
                 yield pa.record_batch(
                     {
                         "h": pa.array(window[one]),
+                        "h2": pa.array(other[one]),
                         "rid": batch.column("rid")[i:j].take(pa.array(row[one])),
                         "tk": batch.column("tk")[i:j].take(pa.array(row[one])),
                         "pos": lists((at - first[:-1][row]).astype(np.int32), np.append(one, len(at)), pa.int32()),
@@ -191,8 +186,9 @@ def remove_repeated(
     Defined cases: a null or empty text has no words; a text shorter than the
     window keeps all; a null id is neither a source nor changed; rows with one
     id are judged each for itself and never against each other; columns other
-    than id and text are ignored. Window hashes have 64 bits, so among W
-    windows a wrong match of one window is expected W / 2^64 times.
+    than id and text are ignored; a very long text's words are held at once.
+    A window is known by two independent 64-bit hashes of its words, a text by a
+    128-bit digest.
     """
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("rid"),
@@ -219,11 +215,11 @@ def remove_repeated(
     found = (
         rows.join(marks, ["rid", "tk"])
         .select("rid", "tk", "text", "marks")
-        .mapInArrow(_windows(width, gram), "h bigint, rid bigint, tk bigint, pos array<int>")
+        .mapInArrow(_windows(width, gram), "h bigint, h2 bigint, rid bigint, tk bigint, pos array<int>")
     )
-    earliest = found.groupBy("h").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi")
+    earliest = found.groupBy("h", "h2").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi")
     covered = (
-        found.join(earliest.select("h", "lo"), "h")
+        found.join(earliest.select("h", "h2", "lo"), ["h", "h2"])
         .where("rid > lo")
         .groupBy("rid", "tk")
         .agg(F.flatten(F.collect_list("pos")).alias("at"))

@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import simple8b, words
@@ -282,8 +282,9 @@ def write_ids(
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of ``folder``: doc_id, start, n_tokens, ids_crc32.
 
-    ``start`` counts the ids of all documents before it. It is summed up per
-    shard first; only one total per shard meets on the driver.
+    ``start`` counts the ids of all documents before it: of the earlier shards, of
+    the shard's earlier segments, of the segment's earlier documents. Only a total
+    per shard, that is per partition written, meets in one task.
     """
     found = stored(
         spark,
@@ -295,12 +296,15 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "documents",
     )
-    parts = found.groupBy("shard", "segment").agg(F.sum("n_tokens").alias("n")).orderBy("shard", "segment").collect()
-    starts, total = [], 0
-    for part in parts:
-        starts.append((part["shard"], part["segment"], total))
-        total += part["n"]
-    base = spark.createDataFrame(starts, "shard bigint, segment bigint, base bigint")
+    parts = found.groupBy("shard", "segment").agg(F.sum("n_tokens").alias("n"))
+    before = Window.unboundedPreceding, -1
+    shards = parts.groupBy("shard").agg(F.sum("n").alias("n"))
+    shards = shards.select("shard", F.sum("n").over(Window.orderBy("shard").rowsBetween(*before)).alias("earlier"))
+    inside = F.sum("n").over(Window.partitionBy("shard").orderBy("segment").rowsBetween(*before))
+    zero = F.lit(0).cast("bigint")
+    base = parts.join(shards, "shard").select(
+        "shard", "segment", (F.coalesce("earlier", zero) + F.coalesce(inside, zero)).alias("base")
+    )
     return found.join(base, ["shard", "segment"]).select(
         F.when(F.col("rid") != _NO_ID, F.col("rid")).alias("doc_id"),
         (F.col("base") + F.col("before")).alias("start"),

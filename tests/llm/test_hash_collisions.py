@@ -1,0 +1,82 @@
+"""Words that collide under every polynomial hash modulo 2^64."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from hazardgrid.llm import lshjoin, memo, queries, substrings, tokenids, transducer, words
+from tests.llm import brute
+
+#: The Thue-Morse string of 4,096 letters and its complement, between two letters.
+TM = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+PAIR = "x" + TM + "x", "x" + TM.translate(str.maketrans("ab", "ba")) + "x"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts, 1)), "doc_id BIGINT, text STRING")
+
+
+def test_token_ids_are_those_of_each_word(spark):
+    from tests.llm.test_tokenids import PATH, want
+
+    got = tokenids.token_ids(spark, frame(spark, PAIR), PATH, 1).collect()
+    assert sorted(map(tuple, got)) == want(list(enumerate(PAIR, 1)))
+
+
+def test_texts_that_share_no_shingle_are_not_linked(spark):
+    got = {r.doc_id: r for r in lshjoin.join_similar(spark, frame(spark, PAIR)).collect()}
+    assert all(r.class_id == d and r.n_links == 0 and r.kept for d, r in got.items())
+
+
+def test_only_shared_words_are_removed(spark):
+    shared = [f"w{i}" for i in range(60)]
+    docs = [(1, " ".join([*shared, PAIR[0]])), (2, " ".join([*shared, PAIR[1]]))]
+    cut = substrings.remove_repeated(spark, frame(spark, [t for _, t in docs])).collect()
+    got = {(r.doc_id, r.n_words, r.n_removed, r.kept) for r in cut}
+    assert got == set(brute.repeated_windows(docs))
+
+
+def test_pieces_decode_to_the_text(spark):
+    model = queries.tokenizer("piece_bpe_32k.model")
+    coded = transducer.encode(frame(spark, PAIR), model)
+    assert {r.doc_id: r.decoded for r in transducer.decode(coded, model).collect()} == dict(enumerate(PAIR, 1))
+
+
+def test_counts_are_those_of_each_word():
+    from tests.llm.test_tokencount import PATH, library, pieces, tokencount
+
+    counter = tokencount.Counter(pieces.load(PATH))
+    count = library(counter.model)
+    assert counter.counts([PAIR[0]]).tolist() + counter.counts([PAIR[1]]).tolist() == [count(t) for t in PAIR]
+    assert counter.counts([" ".join(PAIR)]).tolist() == [count(" ".join(PAIR))]
+
+
+@pytest.mark.parametrize("modulus", [1, 3])
+def test_the_memo_compares_bytes(monkeypatch, modulus):
+    """Every word is told apart even if nearly all hashes are equal."""
+    monkeypatch.setattr(words, "hashes", lambda data, s, e: ((e - s) % modulus).astype(np.uint64))
+    known = memo.WordMemo(lambda found: (np.concatenate([np.frombuffer(w, np.uint8) for w in found]), [len(w) for w in found]))
+    rng = random.Random(modulus)
+    for _ in range(6):
+        text = [" ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(60))]
+        data, offsets = words.text_buffer(pa.array(text))
+        starts, ends, _ = words.spans(data, offsets)
+        values, bounds = known.spread(known.find(data, starts, ends))
+        parts = [bytes(values[a:b].astype(np.uint8)).decode() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert parts == text[0].split()
+
+
+def test_digests_are_of_the_words_alone():
+    texts = ["a b", " a\t\nb ", "ab", "a  b c", "", " ", "b a"]
+    data, offsets = words.text_buffer(pa.array(texts))
+    found = list(zip(*words.digests(data, offsets)))
+    assert found[0] == found[1] and found[4] == found[5] and len(set(found)) == 5
+
+
+def test_hashes_depend_on_all_bytes_and_the_seed():
+    texts = ["a" * n for n in (1, 7, 8, 9, 16, 255, 256, 257, 600)] + ["a" * 599 + "b", "b" + "a" * 8, "aaaaaaaab"]
+    data, offsets = words.text_buffer(pa.array(texts))
+    one, two = (words.hashes(data, offsets[:-1], offsets[1:], seed) for seed in (0, 1))
+    assert len({*one.tolist(), *two.tolist()}) == 2 * len(texts)

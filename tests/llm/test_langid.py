@@ -42,7 +42,7 @@ def test_odd_rows(spark):
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 9, 40])
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 9, 40, 300])
 def test_codewords_differ_in_many_bits(n):
     codes = langid.codewords(n)
     assert codes.shape[0] == n and all(len(set(column)) == 2 for column in codes.T)
@@ -51,6 +51,17 @@ def test_codewords_differ_in_many_bits(n):
             assert (codes[i] != codes[j]).sum() >= max(1, codes.shape[1] // 3)
 
 
+def test_every_label_is_a_language(spark):
+    """300 labels of five texts each, some far rarer than others."""
+    rows = [(1000 * k + i, f"q{k}z w{k}v x{k}y " * 5, f"l{k:03d}") for k in range(300) for i in range(8 if k % 2 else 60)]
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rows = [(i, t.translate(letters), x) for i, t, x in rows]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")).collect()
+    label = {i: x for i, _, x in rows}
+    assert sum(r.lang_pred == label[r.doc_id] for r in got) >= 0.97 * len(rows)
+    assert len({r.lang_pred for r in got}) >= 290
+
+
 def test_a_wrong_bit_is_corrected():
     codes = langid.codewords(4)
     odds = np.zeros((7, langid.BUCKETS))

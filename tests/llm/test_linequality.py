@@ -47,6 +47,15 @@ def test_odd_rows(spark):
     assert linequality.judge(spark, df.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_one_document(spark):
+    """Sixty documents share a line; one of them is in the table 3,000 times."""
+    line = "one header of many words that every page of the host repeats again and again"
+    rows = [(d, f"{line}\n" + " ".join(f"w{d}x{i}" for i in range(5)), "a") for d in range(60)]
+    df = spark.createDataFrame([*rows, *rows[7:8] * 2999], "doc_id BIGINT, text STRING, source STRING")
+    got = linequality.judge(spark, df).where("n_line_words = 15").select("doc_id").distinct()
+    assert got.count() == 59
+
+
 def test_lines_above_the_limit_deplete_documents(spark):
     body = lambda d, n: " ".join(f"w{d}x{i}" for i in range(n))
     header = "one header of many words that every page of the host repeats again and again"
