@@ -69,6 +69,16 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Event rows dealt out by their id, whatever their number.
+
+    Landed texts come as many objects, the table they are built from as one row
+    group; so the texts are built, and parsed, by as many tasks as a shuffle has.
+    """
+    width = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return events.repartition(width, "event_id")
+
+
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery events: all order lines, in the nation of their customer.
 
@@ -106,7 +116,7 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_table(spark, sf_dir).select("event_id", "ts", "user_id")
+    return spread(events_table(spark, sf_dir).select("event_id", "ts", "user_id"))
 
 
 def _alert_id() -> Column:
@@ -213,7 +223,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_stream(events: DataFrame) -> DataFrame:
     """The messages of a frame or stream of event rows."""
-    return message_columns(events.select("event_id", "ts", "user_id", "value"))
+    return message_columns(spread(events.select("event_id", "ts", "user_id", "value")))
 
 
 def message_columns(events: DataFrame) -> DataFrame:
@@ -308,7 +318,7 @@ def combined_columns(events: DataFrame) -> DataFrame:
     write = lambda key: F.to_json(F.struct(*head, severity.alias(key), *rest), {"ignoreNullFields": "false"})
     text = F.when(_every(2), write("severity")).otherwise(write("weather_severity"))
     return (
-        events.select("event_id", "ts", "user_id", "value")
+        spread(events.select("event_id", "ts", "user_id", "value"))
         .select("event_id", text.alias("value"))
         .select("event_id", _cut("value", 53, 5).alias("value"))
         .select(F.col("event_id").alias("row_id"), _followed("value", 47).alias("value"))
