@@ -3,11 +3,12 @@
 Words are counted once. A dictionary holds all shortest grams and every extension
 of a gram that more than ``often`` words contain, so frequent grams are replaced by
 longer, rarer ones. A word is decomposed into the longest dictionary grams at its
-positions that no earlier one covers. One edit touches only the grams over its
-position; the most grams over one position is the word's bound, so a near word
-holds all but that many of its grams, and one of the bound + 1 rarest for sure:
-only their lists are merged. A gram before the edit keeps its distance from the
-word's start, one behind it that from the end. Candidates are then verified.
+positions that no earlier one covers. One edit affects at most one of two grams that
+lie apart: for such a pair the word's bound is one, so a near word is in the list of
+one of both for sure, and only the lists of the rarest pair are merged. A gram
+before the edit keeps all that stands before it, one behind it all that follows; so
+lists are kept by gram, its outer part and the length of the words in them.
+Candidates are then verified.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,29 +38,21 @@ LETTERS = re.compile(r"[a-zÀ-ÿ]+")
 TYPO_MOD = 97
 
 
-def runs(text: bytes) -> Counter:
-    """Maximal runs of letters with A-Z lower-cased, and how often they occur."""
+def runs(text: bytes, least: int) -> Counter:
+    """Maximal runs of ``least`` letters or more with A-Z lower-cased, and how often they occur."""
     text = text.lower().decode("utf-8", "replace")
+    long_runs = re.compile(f"{LETTERS.pattern[:-1]}{{{least},}}")
     found: Counter = Counter()
     at = 0
     while at < len(text):
         end = at + PIECE
         if end < len(text) and LETTERS.match(text, end - 1):
             end = LETTERS.match(text, end - 1).end()
-        found.update(LETTERS.findall(text, at, end))
+        found.update(long_runs.findall(text, at, end))
         at = end
     return found
 
 
-def spelled(doc_id: int | None, run: str, crc: int) -> str:
-    """The run as counted: for one hash in ``TYPO_MOD`` without one of its code points."""
-    h = zlib.crc32(run.encode(), crc)
-    if h % TYPO_MOD:
-        return run
-    k = h % len(run)
-    return run[:k] + run[k + 1 :]
-
-
 def _counted(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, int] = {}
@@ -70,11 +64,13 @@ def _counted(least: int):
             for doc_id, text in zip(batch.column("rid"), batch.column("text").cast(pa.binary())):
                 rid = doc_id.as_py()
                 crc = zlib.crc32(b":" if rid is None else b"%d:" % rid)
-                for word, n in runs(text.as_py() or b"").items():
-                    if len(word) >= least:
-                        word = spelled(rid, word, crc)
-                        if len(word) >= least:
-                            held[word] = held.get(word, 0) + n
+                for word, n in runs(text.as_py() or b"", least).items():
+                    h = zlib.crc32(word.encode(), crc)
+                    if not h % TYPO_MOD:
+                        word = word[: h % len(word)] + word[h % len(word) + 1 :]
+                        if len(word) < least:
+                            continue
+                    held[word] = held.get(word, 0) + n
                 if len(held) > HELD:
                     yield out()
                     held.clear()
@@ -84,16 +80,13 @@ def _counted(least: int):
     return run
 
 
-def decompose(size: int, grams: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], int]:
-    """Grams of a word and its affected-gram bound.
-
-    ``grams``: (start, end, words that hold it) of all dictionary grams in a word of
-    ``size`` code points. Longest grams not over half the word, one a position, none
-    inside an earlier one; the bound is the most of them over one position.
+def decompose(grams: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """A word's own grams (start, end, words that hold it) of all dictionary grams in it:
+    the longest one a position, and none inside an earlier one.
     """
     longest: dict[int, tuple[int, int]] = {}
     for start, end, often in grams:
-        if end - start <= max(size // 2, SHORTEST) and end > longest.get(start, (0, 0))[0]:
+        if end > longest.get(start, (0, 0))[0]:
             longest[start] = (end, often)
     own, reach = [], 0
     for start in sorted(longest):
@@ -101,31 +94,37 @@ def decompose(size: int, grams: list[tuple[int, int, int]]) -> tuple[list[tuple[
         if end > reach:
             own.append((start, end, often))
             reach = end
-    over = Counter(p for start, end, _ in own for p in range(start, end))
-    return own, max(over.values(), default=0)
+    return own
 
 
-def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per word the (gram, place) lists to merge."""
+def rarest_apart(own: list[tuple[int, int, int]]) -> tuple[int, int]:
+    """End of the first and start of the second of the rarest two grams that lie apart.
+
+    The first gram of a word and its last one always do, as none is over half of it.
+    """
+    best, first, k = None, None, 0
+    for start, _, often in own:
+        while own[k][1] <= start:  # ends ascend like starts do
+            if first is None or (own[k][2], -own[k][1]) < (first[2], -first[1]):
+                first = own[k]
+            k += 1
+        if first is not None and (best is None or first[2] + often < best[0]):
+            best = (first[2] + often, first[1], start)
+    return best[1:]
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per word the end of its first gram and the start of its second one."""
     for batch in batches:
-        word_out, n_out, gram_out, place_out, reach_out = [], [], [], [], []
-        for word, n, grams in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "grams"))):
-            own, bound = decompose(len(word), [(g["start"], g["end"], g["often"]) for g in grams])
-            for start, end, _ in sorted(own, key=lambda g: (g[2], g[0]))[: bound + 1]:
-                # Equal up to the gram's end, or equal from its start on.
-                for place, reach in ((start, end), (end - len(word) - 1, len(word) - start)):
-                    word_out.append(word)
-                    n_out.append(n)
-                    gram_out.append(word[start:end])
-                    place_out.append(place)
-                    reach_out.append(reach)
+        flat = zip(*(batch.column(c).flatten().to_pylist() for c in ("starts", "ends", "oftens")))
+        counts = batch.column("starts").value_lengths().to_pylist()
+        chosen = [rarest_apart(decompose(list(islice(flat, n)))) for n in counts]
         yield pa.record_batch(
             {
-                "word": pa.array(word_out, pa.string()),
-                "n": pa.array(n_out, pa.int64()),
-                "gram": pa.array(gram_out, pa.string()),
-                "place": pa.array(place_out, pa.int32()),
-                "reach": pa.array(reach_out, pa.int32()),
+                "word": batch.column("word"),
+                "n": batch.column("n"),
+                "head": pa.array([c[0] for c in chosen], pa.int32()),
+                "tail": pa.array([c[1] for c in chosen], pa.int32()),
             }
         )
 
@@ -145,43 +144,41 @@ def near_words(spark: SparkSession, words: DataFrame, often: int = OFTEN) -> Dat
     ``words``: distinct (word, n). Words of fewer than ``2 * SHORTEST`` code points
     have no two grams apart and are refused.
     """
-    sizes = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("word")))
+    whole = words.where(F.expr(f"length(word) >= {2 * SHORTEST} or raise_error('a word is too short')"))
+    sizes = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.floor(F.length("word") / 2).cast("int")))
     starts = F.sequence(F.lit(0), F.length("word") - F.col("size"))
     grams = (
-        words.where(F.expr(f"length(word) >= {2 * SHORTEST} or raise_error('a word is too short')"))
-        .select("word", "n", F.explode(sizes).alias("size"))
+        whole.select("word", "n", F.explode(sizes).alias("size"))
         .select("word", "n", "size", F.explode(starts).alias("start"))
         .select("word", "n", "start", "size", F.expr("substring(word, start + 1, size)").alias("gram"))
     )
-    counts = grams.groupBy("gram").agg(F.count("*").alias("often"))
+    counts = stored(spark, grams.groupBy("gram").agg(F.count("*").alias("often")), "grams")
     longer = counts.where(F.length("gram") > SHORTEST).withColumn("stem", F.expr("left(gram, length(gram) - 1)"))
     stems = counts.where(F.col("often") > often).select(F.col("gram").alias("stem"))
-    dictionary = stored(
-        spark,
-        longer.join(stems, "stem", "left_semi")
-        .select("gram", "often")
-        .union(counts.where(F.length("gram") == SHORTEST)),
-        "dictionary",
-    )
-    index = stored(
-        spark,
-        grams.join(dictionary, "gram").select("word", "n", "start", (F.col("start") + F.col("size")).alias("end"), "gram", "often"),
-        "index",
-    )
-    probes = (
-        index.groupBy("word", "n")
-        .agg(F.collect_list(F.struct("start", "end", "often")).alias("grams"))
-        .mapInArrow(_probes, "word string, n bigint, gram string, place int, reach int")
+    dictionary = longer.join(stems, "stem", "left_semi").select("gram", "often")
+    dictionary = dictionary.union(counts.where(F.length("gram") == SHORTEST))
+    own = F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"), "often"))
+    pairs = (
+        grams.join(dictionary, "gram")
+        .groupBy("word", "n")
+        .agg(own.alias("g"))
+        .select("word", "n", F.col("g.start").alias("starts"), F.col("g.end").alias("ends"), F.col("g.often").alias("oftens"))
+        .mapInArrow(_pairs, "word string, n bigint, head int, tail int")
     )
-    places = F.array("start", F.col("end") - F.length("word") - 1)
-    lists = index.select("gram", F.explode(places).alias("place"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    same = F.when(F.col("place") >= 0, F.expr("left(word, reach) = left(other, reach)")).otherwise(
-        F.expr("right(word, reach) = right(other, reach)")
+    # A list's key is a hash: a collision only adds a candidate.
+    head = lambda end, size: F.xxhash64(F.lit("head"), F.expr(f"left(word, {end})"), size)
+    tail = lambda start, size: F.xxhash64(F.lit("tail"), F.expr(f"substring(word, {start} + 1)"), size)
+    size = F.length("word")
+    probes = pairs.select(
+        "word",
+        "n",
+        F.explode(F.array(*[key for d in (-1, 0, 1) for key in (head("head", size + d), tail("tail", size + d))])).alias("list"),
     )
+    cuts = F.sequence(F.lit(SHORTEST), size - 1)
+    lists = whole.select(F.col("word").alias("other"), F.col("n").alias("other_n"), "word", F.explode(cuts).alias("cut"))
+    lists = lists.select("other", "other_n", F.explode(F.array(head("cut", size), tail("length(word) - cut", size))).alias("list"))
     return (
-        probes.join(lists, ["gram", "place"])
-        .where(F.abs(F.length("word") - F.length("other")) <= 1)
-        .where(same)
+        probes.join(lists, "list")
         .where(F.levenshtein("word", "other", 1) == 1)
         .select("word", "n", "other", "other_n")
         .distinct()

@@ -59,8 +59,11 @@ def test_odd_rows(spark):
     assert variants.group_variants(spark, docs.limit(0)).count() == 0
 
 
-def test_bound_counts_grams_over_one_position():
+def test_rarest_grams_that_lie_apart():
     grams = [(i, i + q, 5) for i in range(8) for q in (2, 3) if i + q <= 8]
-    own, bound = variants.decompose(8, grams)
-    assert own == [(i, i + 3, 5) for i in range(6)] and bound == 3
-    assert variants.decompose(5, [(0, 2, 1), (1, 3, 1), (2, 4, 1), (3, 5, 1), (0, 5, 1)])[1] == 2
+    own = variants.decompose(grams)
+    assert own == [(i, i + 3, 5) for i in range(6)]
+    assert variants.rarest_apart(own) == (3, 3)
+    rare = [(s, e, 1 if s in (1, 5) else 9) for s, e, _ in own]
+    assert variants.rarest_apart(rare) == (4, 5)
+    assert variants.rarest_apart([(0, 2, 1), (1, 3, 1), (2, 4, 1), (3, 5, 7)]) == (2, 2)
