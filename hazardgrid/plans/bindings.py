@@ -226,6 +226,15 @@ def message_stream(events: DataFrame) -> DataFrame:
     return message_columns(spread(events.select("event_id", "ts", "user_id", "value")))
 
 
+#: Deliveries in which the messages arrive.
+ARRIVALS = 5
+
+
+def arrival() -> Column:
+    """Which delivery brings an event: by day of the month, every tenth event one later."""
+    return F.floor((F.dayofmonth("ts") - 1) * 4 / 31) + F.when(_every(10), 1).otherwise(0)
+
+
 def message_columns(events: DataFrame) -> DataFrame:
     """Event rows as JSON messages; faults repeat with the event id.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardgrid import constants as C
 from hazardgrid import schemas
@@ -25,6 +26,7 @@ from hazardgrid.operators import (
 from hazardgrid.plans import bindings as B
 from hazardgrid.session import configure, delete_dir, path_exists, shared_dir
 from hazardgrid.sinks import jsonlines
+from hazardgrid.sinks.eventstore import EventStore, committed_batch
 from hazardgrid.sources import landed
 from hazardgrid.streaming import pipelines
 
@@ -440,16 +442,71 @@ def stream_silver(spark, sf):
     out = _run_dir(spark, "events")
     stream = B.message_stream(_event_stream(spark, sf))
     pipelines.event_pipeline(
-        stream, f"{out}/silver", f"{out}/audit", f"{out}/checkpoint", as_of=B.as_of(), once=True
+        stream, f"{out}/store", f"{out}/checkpoint", as_of=B.as_of(), once=True
     ).awaitTermination()
-    extra = "event_id BIGINT, published_at TIMESTAMP, "
-    silver = _written(spark, extra + _ddl(schemas.SILVER_EVENT), f"{out}/silver")
-    audit = _written(spark, extra + _ddl(schemas.SILVER_EVENT) + ", raw_message STRING", f"{out}/audit")
-    columns = ["event_id", "location_id", "measurement_age_hours", "validation_status", "validation_error"]
-    silver, audit = _taken(spark, out, silver.select(columns), audit.select(columns))
-    return silver.select(F.lit("silver").alias("output"), *columns).unionByName(
-        audit.select(F.lit("audit").alias("output"), *columns)
+    rows = EventStore(spark, f"{out}/store").read(_stream_schema(schemas.SILVER_EVENT))
+    (rows,) = _taken(
+        spark, out, rows.select("output", "event_id", "location_id", "measurement_age_hours", "validation_status", "validation_error")
     )
+    return rows
+
+
+def _stream_schema(schema):
+    """Columns that the messages of the table bring along, and those of the events."""
+    return T.StructType([*T.StructType.fromDDL("event_id BIGINT, published_at TIMESTAMP").fields, *schema.fields])
+
+
+LATENESS = "1 day"
+
+
+def _arrivals(spark, sf, name):
+    """The event job run once for each arrival of messages; its folder, with store and panes."""
+    out = _run_dir(spark, name)
+    schema = "event_id BIGINT, published_at TIMESTAMP, value STRING"
+    for n in range(B.ARRIVALS):
+        arrived = B.message_stream(B.events_table(spark, sf).where(B.arrival() == n))
+        arrived.write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{out}/in")
+        pipelines.event_pipeline(
+            stream, f"{out}/store", f"{out}/checkpoint", as_of=B.as_of(), once=True, panes=f"{out}/windows", late=LATENESS
+        ).awaitTermination()
+    return out
+
+
+@query
+def stream_window_panes(spark, sf):
+    """Counts per window and status as the batches emitted them, late records left out."""
+    out = _arrivals(spark, sf, "panes")
+    (panes,) = _taken(spark, out, pipelines.read_panes(spark, f"{out}/windows"))
+    return _window_columns(panes)
+
+
+@query
+def stream_late_records(spark, sf):
+    """Records that came after their window, with the watermark they met."""
+    out = _arrivals(spark, sf, "late")
+    late = pipelines.read_late(spark, f"{out}/windows", _stream_schema(schemas.SILVER_EVENT))
+    (late,) = _taken(spark, out, late.select("event_id", "validation_status", "window_start", "window_end", "watermark", "late_reason"))
+    return _window_columns(late).withColumn("watermark", F.unix_micros("watermark"))
+
+
+@query
+def silver_compacted(spark, sf):
+    """Silver read back after its batches have been compacted, all but the last one."""
+    out = _arrivals(spark, sf, "compacted")
+    store = EventStore(spark, f"{out}/store")
+    store.compact(committed_batch(spark, f"{out}/checkpoint") - 1, _stream_schema(schemas.SILVER_EVENT))
+    store.vacuum()
+    rows = landed.silver_events(spark, f"{out}/store")
+    (rows,) = _taken(
+        spark,
+        out,
+        rows.select(
+            "location_id", F.col("value").alias("pm25"), F.col("measurement_datetime.utc").alias("measurement_utc"),
+            "measurement_age_hours", "freshness_status",
+        ),
+    )
+    return rows
 
 
 @query
@@ -466,7 +523,3 @@ def stream_scores(spark, sf):
         frames.append(rows.select(F.lit(name).alias("output"), "row_id", "risk_score", "risk_band", "error"))
     scored, dead = _taken(spark, out, *frames)
     return scored.unionByName(dead)
-
-
-def _ddl(schema):
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

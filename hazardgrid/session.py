@@ -56,6 +56,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def _store(spark: SparkSession, path: str):
+    """A path and the file system it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    place, store = _store(spark, path)
+    if not store.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(place))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of UTF-8 text."""
+    place, store = _store(spark, path)
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file that readers see whole or not at all; an existing one is an error."""
+    place, store = _store(spark, path)
+    if store.exists(place):
+        raise FileExistsError(path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.new")
+    stream = store.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not store.rename(hidden, place):
+        raise FileExistsError(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 

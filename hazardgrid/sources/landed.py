@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hazardgrid import constants as C
 from hazardgrid import schemas
 from hazardgrid.session import path_exists
+from hazardgrid.sinks.eventstore import EventStore
 
 
 _OBJECTS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -67,10 +68,13 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str)
 def silver_events(
     spark: SparkSession, path: str, fmt: str = "parquet", dates: list[str] | None = None
 ) -> DataFrame:
-    """Accepted events, from the Parquet layout or from JSON lines.
+    """Accepted events of an event store, or of one folder of Parquet or JSON lines.
 
-    ``dates`` prunes the Parquet layout to the folders of those dates.
+    ``dates`` prunes an event store or a dated layout to the folders of those dates.
     """
+    if EventStore.is_store(spark, path):
+        stored = EventStore(spark, path, fmt).read(schemas.SILVER_EVENT, "silver", dates)
+        return stored.select(*schemas.SILVER_EVENT.fieldNames())
     stored = spark.read.schema(schemas.SILVER_EVENT).format(fmt).load(path)
     if dates:
         stored = stored.filter(F.col("event_date").isin([F.lit(d).cast("date") for d in dates]))

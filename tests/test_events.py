@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardgrid.operators import airquality, events
+from hazardgrid.sinks.eventstore import EventStore
+from hazardgrid.sources import landed
 from hazardgrid.streaming import pipelines
 
 GOOD = {
@@ -231,21 +233,20 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(source))
     as_of = F.lit(AS_OF).cast("timestamp")
     query = pipelines.event_pipeline(
-        stream, f"{tmp_path}/silver", f"{tmp_path}/audit", f"{tmp_path}/cp", as_of=as_of, once=True
+        stream, f"{tmp_path}/store", f"{tmp_path}/cp", as_of=as_of, once=True
     )
     query.awaitTermination()
     batch = events.validate_strict(events.parse_messages(spark.read.text(str(source))), as_of)
     for part, expected in (("silver", events.silver_events(batch)), ("audit", events.audit_events(batch))):
-        written = spark.read.schema(expected.schema).parquet(f"{tmp_path}/{part}")
-        written = written.select(*expected.columns)
+        written = EventStore(spark, f"{tmp_path}/store").read(expected.schema, part).select(*expected.columns)
         assert written.exceptAll(expected).isEmpty() and expected.exceptAll(written).isEmpty()
-        assert len(list((tmp_path / part).glob("batch_id=*"))) == 3
+        assert len(list((tmp_path / "store/data").glob("part=batch-*"))) == 3
     # Running again over the same input adds nothing.
     pipelines.event_pipeline(
         spark.readStream.format("text").load(str(source)),
-        f"{tmp_path}/silver", f"{tmp_path}/audit", f"{tmp_path}/cp", as_of=as_of, once=True,
+        f"{tmp_path}/store", f"{tmp_path}/cp", as_of=as_of, once=True,
     ).awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/silver").count() == 3
+    assert landed.silver_events(spark, f"{tmp_path}/store").count() == 3
 
 
 def test_late_records_miss_closed_windows(spark, tmp_path):

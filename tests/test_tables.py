@@ -96,13 +96,13 @@ def test_stream_writes_json_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "m.jsonl").write_text(message() + "\nbroken\n", encoding="utf-8")
     pipelines.event_pipeline(
-        landed.message_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/silver", f"{tmp_path}/audit", f"{tmp_path}/cp",
+        landed.message_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/store", f"{tmp_path}/cp",
         as_of=F.lit("2024-01-10 12:30:00").cast("timestamp"), once=True, fmt="json",
     ).awaitTermination()
-    (event,) = landed.silver_events(spark, f"{tmp_path}/silver", "json").collect()
+    (event,) = landed.silver_events(spark, f"{tmp_path}/store", "json").collect()
     assert (event.location_id, event.measurement_age_hours, event.locality) == (8320, 1.5, None)
     assert event.measurement_datetime.utc == "2024-01-10T11:00:00Z" and event.processed_at is not None
-    (line,) = spark.read.text(f"{tmp_path}/audit/*").collect()
+    (line,) = spark.read.text(f"{tmp_path}/store/data/*/output=audit/*").collect()
     assert json.loads(line["value"])["raw_message"] == "broken" and json.loads(line["value"])["location_id"] is None
 
 
@@ -123,7 +123,7 @@ def test_daily_run(spark, tmp_path):
     (tmp_path / "messages").mkdir()
     (tmp_path / "messages" / "m.jsonl").write_text("\n".join(lines), encoding="utf-8")
     pipelines.event_pipeline(
-        landed.message_stream(spark, f"{tmp_path}/messages"), f"{tmp_path}/silver", f"{tmp_path}/audit",
+        landed.message_stream(spark, f"{tmp_path}/messages"), f"{tmp_path}/store",
         f"{tmp_path}/cp", as_of=F.lit("2024-01-10 12:30:00").cast("timestamp"), once=True,
     ).awaitTermination()
     csv = tmp_path / "drivers.csv"
@@ -136,7 +136,7 @@ def test_daily_run(spark, tmp_path):
     jobs.prepare(house)
     for _ in range(2):
         jobs.run_weather(house, f"{tmp_path}/alerts", f"{tmp_path}/daily.jsonl", [day])
-        jobs.run_air_quality(house, landed.silver_events(spark, f"{tmp_path}/silver"))
+        jobs.run_air_quality(house, landed.silver_events(spark, f"{tmp_path}/store"))
         jobs.run_delivery(house, landed.driver_events_csv(spark, str(csv)))
         jobs.run_gold(house)
         jobs.run_checks(house)
