@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from hazardgrid.functions import lookups
 from hazardgrid.operators import airquality, alerts, arearisk, delivery, events, quality
@@ -78,22 +79,33 @@ def run_air_quality(
     tables.upsert_air_quality(warehouse, airquality.air_quality_daily(latest, processed_at))
 
 
-def run_delivery(warehouse: Warehouse, bronze: DataFrame | None = None) -> None:
-    """Rebuild the delivery mart from Bronze delivery events."""
+def _of_dates(df: DataFrame, day: Column, dates: list[str] | None) -> DataFrame:
+    return df.where(day.isin([F.lit(d).cast("date") for d in dates])) if dates else df
+
+
+def _store_mart(warehouse: Warehouse, mart: DataFrame, table: str, dates: list[str] | None) -> None:
+    if dates:
+        warehouse.replace_dates(table, mart, dates)
+    else:
+        warehouse.overwrite(mart, table)
+
+
+def run_delivery(
+    warehouse: Warehouse, bronze: DataFrame | None = None, dates: list[str] | None = None
+) -> None:
+    """Build the delivery mart from Bronze delivery events, of the given dates or all anew."""
     source = warehouse.table("driver_events") if bronze is None else bronze
     staged = delivery.stage_driver_events(source)
     staged.createOrReplaceTempView("stg_driver_events")
-    warehouse.overwrite(delivery.delivery_performance(staged), "fact_delivery_performance")
+    mart = delivery.delivery_performance(_of_dates(staged, F.to_date("event_ts"), dates))
+    _store_mart(warehouse, mart, "fact_delivery_performance", dates)
 
 
-def run_gold(warehouse: Warehouse) -> None:
-    """Rebuild the area-risk mart from the three stored daily tables."""
-    gold = arearisk.area_risk_daily(
-        warehouse.table("fact_delivery_performance"),
-        warehouse.table("environment_risk_daily"),
-        warehouse.table("openaq_air_quality_daily"),
-    )
-    warehouse.overwrite(gold, "fact_area_risk_daily")
+def run_gold(warehouse: Warehouse, dates: list[str] | None = None) -> None:
+    """Build the area-risk mart from the three stored daily tables, of the given dates or all anew."""
+    signals = ("fact_delivery_performance", "environment_risk_daily", "openaq_air_quality_daily")
+    gold = arearisk.area_risk_daily(*[_of_dates(warehouse.table(t), F.col("event_date"), dates) for t in signals])
+    _store_mart(warehouse, gold, "fact_area_risk_daily", dates)
 
 
 def run_checks(warehouse: Warehouse) -> None:
@@ -109,12 +121,12 @@ def run_daily(
     silver_path: str,
     dates: list[str] | None = None,
 ) -> None:
-    """The whole daily run after the stream has filled Silver."""
+    """The whole daily run after the stream has filled Silver; with dates, of these only."""
     prepare(warehouse)
     run_weather(warehouse, alerts_root, handover, dates)
     run_air_quality(warehouse, landed.silver_events(warehouse.spark, silver_path, dates=dates))
-    run_delivery(warehouse)
-    run_gold(warehouse)
+    run_delivery(warehouse, dates=dates)
+    run_gold(warehouse, dates)
     run_checks(warehouse)
 
 

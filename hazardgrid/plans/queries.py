@@ -24,9 +24,11 @@ from hazardgrid.operators import (
     upsert,
 )
 from hazardgrid.plans import bindings as B
+from hazardgrid.plans import jobs
 from hazardgrid.session import configure, delete_dir, path_exists, shared_dir
-from hazardgrid.sinks import jsonlines
+from hazardgrid.sinks import jsonlines, tables
 from hazardgrid.sinks.eventstore import EventStore, committed_batch
+from hazardgrid.sinks.tables import Warehouse
 from hazardgrid.sources import landed
 from hazardgrid.streaming import pipelines
 
@@ -139,9 +141,7 @@ def _text_times(df, *columns):
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
 
 
-@query
-def weather_upsert(spark, sf):
-    source = _environment(spark, sf)
+def _earlier_weather(spark, sf):
     fill = {
         "event_date": F.col("event_date"),
         "city": F.col("city"),
@@ -150,15 +150,20 @@ def weather_upsert(spark, sf):
         "active_weather_alerts": F.col("n"),
         "bmkg_alert_id": F.lit("earlier"),
     }
-    target = B.earlier_daily(spark, sf).select(
+    return B.earlier_daily(spark, sf).select(
         *[
             fill.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schemas.ENVIRONMENT_RISK_DAILY
         ]
     )
+
+
+@query
+def weather_upsert(spark, sf):
+    target = _earlier_weather(spark, sf)
     keys = ["event_date", "city"]
     update = [c for c in target.columns if c not in (*keys, "air_quality_risk")]
-    merged = upsert.upsert(target, source, keys, update)
+    merged = upsert.upsert(target, _environment(spark, sf), keys, update)
     return _text_times(merged, "effective", "expires", "processed_at")
 
 
@@ -220,10 +225,8 @@ def air_quality_daily(spark, sf):
     return airquality.air_quality_daily(_latest(spark, sf), B.as_of()).drop("processed_at")
 
 
-@query
-def air_quality_upsert(spark, sf):
-    source = airquality.air_quality_daily(_latest(spark, sf), B.as_of())
-    target = B.earlier_daily(spark, sf).select(
+def _earlier_air(spark, sf):
+    return B.earlier_daily(spark, sf).select(
         "event_date",
         "city",
         F.lit(1.0).alias("avg_pm25"),
@@ -232,6 +235,12 @@ def air_quality_upsert(spark, sf):
         F.col("n").alias("observation_count"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("processed_at"),
     )
+
+
+@query
+def air_quality_upsert(spark, sf):
+    source = airquality.air_quality_daily(_latest(spark, sf), B.as_of())
+    target = _earlier_air(spark, sf)
     keys = ["event_date", "city"]
     merged = upsert.upsert(target, source, keys, [c for c in target.columns if c not in keys])
     return _text_times(merged, "processed_at")
@@ -304,6 +313,71 @@ def _rounded(df):
     )
 
 
+# --- stored tables -----------------------------------------------------------
+
+
+def _house(spark):
+    """A warehouse of its own for one run of a query."""
+    house = Warehouse(spark, f"run_{uuid.uuid4().hex[:12]}")
+    house.create_namespaces()
+    return house
+
+
+def _kept(house, *frames):
+    """Frames over a warehouse's tables, kept as checkpoints; the warehouse is dropped."""
+    kept = [f.checkpoint() for f in frames]
+    for layer in C.LAYERS:
+        house.spark.sql(f"DROP DATABASE {house.namespace(layer)} CASCADE")
+    return kept
+
+
+@query
+def weather_upsert_stored(spark, sf):
+    """The daily weather merged into a stored table, date by date, with another signal's column kept."""
+    house = _house(spark)
+    house.overwrite(_earlier_weather(spark, sf), "environment_risk_daily")
+    tables.upsert_weather(house, _environment(spark, sf))
+    house.vacuum("environment_risk_daily")
+    (stored,) = _kept(house, house.table("environment_risk_daily"))
+    return _text_times(stored, "effective", "expires", "processed_at")
+
+
+@query
+def air_quality_upsert_stored(spark, sf):
+    """The daily air quality merged into a stored table."""
+    house = _house(spark)
+    house.overwrite(_earlier_air(spark, sf), "openaq_air_quality_daily")
+    tables.upsert_air_quality(house, airquality.air_quality_daily(_latest(spark, sf), B.as_of()))
+    (stored,) = _kept(house, house.table("openaq_air_quality_daily"))
+    return _text_times(stored, "processed_at")
+
+
+@query
+def daily_run_stored(spark, sf):
+    """Gold as the daily batch leaves it in its table: Bronze, Silver and marts stored, two runs of dates."""
+    house = _house(spark)
+    jobs.prepare(house)
+    house.overwrite(delivery.stage_driver_events(B.driver_events(spark, sf)), "driver_events")
+    _, environment, air = _signals(spark, sf)
+    tables.upsert_weather(house, environment)
+    tables.upsert_air_quality(house, air)
+    days = [d.isoformat() for d in sorted(_days(house))]
+    for part in (days[::2], days[1::2], days[:3]):  # the last days come again
+        jobs.run_delivery(house, dates=part)
+        jobs.run_gold(house, part)
+    quality.enforce(house.table("fact_delivery_performance"), quality.delivery_checks())
+    quality.enforce(house.table("fact_area_risk_daily"), [c for c in quality.gold_checks() if c.name.startswith("not_null")])
+    (gold,) = _kept(house, house.table("fact_area_risk_daily"))
+    return gold
+
+
+def _days(house):
+    """Dates of the signals: as many rows as there are days."""
+    bronze = house.table("driver_events").select(F.to_date("event_ts").alias("d"))
+    daily = [house.table(t).select(F.col("event_date").alias("d")) for t in ("environment_risk_daily", "openaq_air_quality_daily")]
+    return [r.d for r in bronze.union(daily[0]).union(daily[1]).where("d is not null").distinct().collect()]
+
+
 # --- data checks -------------------------------------------------------------
 
 

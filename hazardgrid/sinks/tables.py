@@ -16,8 +16,11 @@ from hazardgrid import schemas
 from hazardgrid.functions import lookups
 from hazardgrid.operators import airquality, quality
 from hazardgrid.operators.upsert import upsert
+from hazardgrid.session import delete_dir, list_dir
 
 KEYS = ["event_date", "city"]
+#: Where a table keeps the partitions of later runs; readers of folders pass it by.
+VERSIONS = "_versions"
 
 # table -> (layer, schema, partition column, order inside the files)
 TABLES: dict[str, tuple[str, T.StructType, str | None, list[str]]] = {
@@ -101,7 +104,7 @@ class Warehouse:
         update_cols: list[str],
         insert_defaults: dict[str, Column] | None = None,
     ) -> None:
-        """Merge rows into a date-partitioned table, rewriting only their dates.
+        """Merge rows into a date-partitioned table, replacing only their dates.
 
         The source is written to a stage table once, since both its dates and
         its rows are needed. The stage's first and last date (one row fetched)
@@ -119,13 +122,48 @@ class Warehouse:
                 .filter(F.col(partition).between(F.lit(first), F.lit(last)))
                 .join(rows.select(partition).distinct(), partition, "left_semi")
             )
-            merged = upsert(touched, rows, KEYS, update_cols, insert_defaults)
-            ready = _clustered(_conform(merged, schema), partition, order)
-            # insertInto is positional, partition column last.
-            stored = self.spark.table(self.name(table)).columns
-            ready.select(*stored).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
-                self.name(table)
-            )
+            self.replace_dates(table, upsert(touched, rows, KEYS, update_cols, insert_defaults))
+
+    def replace_dates(self, table: str, rows: DataFrame, dates: list[str] | None = None) -> None:
+        """Put ``rows`` in place of all rows of their dates, and of ``dates``.
+
+        The rows are written to a new version folder; then each date's partition is
+        pointed at it, which the catalog does in one step. So a reader sees a date
+        before or after, never in between, and a run that fails leaves the dates it
+        has not reached as they were. One of ``dates`` without rows is dropped. Old
+        files stay for readers at work until ``vacuum``. One writer per table.
+        """
+        _, schema, partition, order = TABLES[table]
+        name = self.create_table(table)
+        folder = f"{self.location(table)}/{VERSIONS}/{uuid.uuid4().hex}"
+        _clustered(_conform(rows, schema), partition, order).write.partitionBy(partition).parquet(folder)
+        written = [n for n in list_dir(self.spark, folder) if n.startswith(f"{partition}=")]
+        known = {r["partition"] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        for place in written:  # as many as dates touched
+            spec = f"({partition} = DATE '{place.split('=', 1)[1]}')"
+            change = f"PARTITION {spec} SET" if place in known else f"ADD PARTITION {spec}"
+            self.spark.sql(f"ALTER TABLE {name} {change} LOCATION '{folder}/{place}'")
+        for day in dates or []:
+            if f"{partition}={day}" not in written:
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = DATE '{day}')")
+
+    def location(self, table: str, partition: str = "") -> str:
+        """Folder of a table or of one of its partitions (as ``SHOW PARTITIONS`` writes it)."""
+        spec = f"PARTITION ({partition.replace('=', ' = DATE ' + chr(39))}{chr(39)})" if partition else ""
+        told = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)} {spec}").collect()
+        return next(r["data_type"] for r in told if r["col_name"] == "Location")
+
+    def vacuum(self, table: str) -> None:
+        """Delete the files of dates that have been replaced; no reader of them may be left."""
+        partition = TABLES[table][2]
+        shown = [r["partition"] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+        used = {self.location(table, p) for p in shown}
+        top = self.location(table)
+        runs = [top, *(f"{top}/{VERSIONS}/{n}" for n in list_dir(self.spark, f"{top}/{VERSIONS}"))]
+        for run in runs:
+            for place in list_dir(self.spark, run):
+                if place.startswith(f"{partition}=") and f"{run}/{place}" not in used:
+                    delete_dir(self.spark, f"{run}/{place}")
 
 
 def upsert_weather(warehouse: Warehouse, rows: DataFrame) -> None:

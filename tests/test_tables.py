@@ -228,3 +228,91 @@ def test_publish(spark, tmp_path):
 def test_seed_matches_city_lookup(spark):
     seed = lookups.station_seed(spark)
     assert seed.filter(lookups.station_city(F.col("location_id")) != F.col("city")).isEmpty()
+
+
+def air_rows(spark, *rows):
+    df = spark.createDataFrame([(d, c, float(n)) for d, c, n in rows], "event_date DATE, city STRING, avg_pm25 DOUBLE")
+    fill = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.AIR_QUALITY_DAILY}
+    return df.select(*[c if c in df.columns else fill[c] for c in fill])
+
+
+def air_content(house):
+    return sorted((r.event_date, r.city, r.avg_pm25) for r in house.table("openaq_air_quality_daily").collect())
+
+
+@pytest.fixture
+def air_house(spark, request):
+    house = Warehouse(spark, request.node.name[:40])
+    jobs.prepare(house)
+    tables.upsert_air_quality(house, air_rows(spark, (D1, "A", 1), (D1, "B", 2), (D2, "A", 3)))
+    return house
+
+
+def test_a_date_is_replaced_in_one_step(spark, air_house, monkeypatch):
+    """A run that stops between two dates leaves each of them whole, old or new."""
+    seen, sql = [], type(spark).sql
+
+    def stopping(self, text, *args, **kwargs):
+        if "SET LOCATION" in text:
+            seen.append(air_content(air_house))
+            if len(seen) == 2:
+                raise InterruptedError
+        return sql(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", stopping)
+    with pytest.raises(InterruptedError):
+        tables.upsert_air_quality(air_house, air_rows(spark, (D1, "A", 10), (D1, "C", 30), (D2, "A", 40)))
+    monkeypatch.undo()
+    old, new = [(D1, "A", 1.0), (D1, "B", 2.0)], [(D1, "A", 10.0), (D1, "B", 2.0), (D1, "C", 30.0)]
+    assert seen == [[*old, (D2, "A", 3.0)], [*new, (D2, "A", 3.0)]]
+    assert air_content(air_house) == [*new, (D2, "A", 3.0)]
+    tables.upsert_air_quality(air_house, air_rows(spark, (D1, "A", 10), (D1, "C", 30), (D2, "A", 40)))
+    assert air_content(air_house) == [*new, (D2, "A", 40.0)]
+
+
+def test_vacuum_keeps_what_is_in_use(spark, air_house):
+    table = "openaq_air_quality_daily"
+    for n in (5, 6):
+        tables.upsert_air_quality(air_house, air_rows(spark, (D1, "A", n)))
+    top = air_house.location(table)
+    folder = top.removeprefix("file:")
+    import pathlib
+
+    parts = lambda: sorted(p.name for p in pathlib.Path(folder).rglob("event_date=*"))
+    assert len(parts()) == 4
+    air_house.vacuum(table)
+    assert parts() == [f"event_date={D1}", f"event_date={D2}"]
+    assert air_content(air_house) == [(D1, "A", 6.0), (D1, "B", 2.0), (D2, "A", 3.0)]
+
+
+def test_marts_of_given_dates(spark, tmp_path):
+    """Only the dates of the run are written; one that has no rows any more is dropped."""
+    house = Warehouse(spark, "dated")
+    jobs.prepare(house)
+    schema = schemas.DRIVER_EVENTS
+
+    def bronze(*rows):
+        values = [(f"e{i}", dt.datetime.combine(d, dt.time(8)), c, "D", o, 0.0, 0.0, 30, 40, 10, 4.0) for i, (d, c, o) in enumerate(rows)]
+        return spark.createDataFrame(values, schema)
+
+    def mart(table):
+        return sorted((r.event_date, r.city, r.orders) for r in house.table(table).collect())
+
+    house.overwrite(bronze((D1, "A", "o1"), (D2, "A", "o2")), "driver_events")
+    jobs.run_delivery(house, dates=[str(D1), str(D2)])
+    jobs.run_gold(house, [str(D1), str(D2)])
+    kept = house.location("fact_delivery_performance", f"event_date={D2}")
+    # The second date's rows have changed as well, but the run is not about it.
+    house.overwrite(bronze((D1, "A", "o1"), (D1, "B", "o3"), (D2, "Z", "o9")), "driver_events")
+    jobs.run_delivery(house, dates=[str(D1)])
+    jobs.run_gold(house, [str(D1)])
+    want = [(D1, "A", 1), (D1, "B", 1), (D2, "A", 1)]
+    assert mart("fact_delivery_performance") == mart("fact_area_risk_daily") == want
+    assert house.location("fact_delivery_performance", f"event_date={D2}") == kept
+    house.overwrite(bronze((D1, "A", "o1")), "driver_events")
+    jobs.run_delivery(house, dates=[str(D2)])
+    jobs.run_gold(house, [str(D2)])
+    assert mart("fact_delivery_performance") == mart("fact_area_risk_daily") == want[:2]
+    jobs.run_delivery(house)
+    jobs.run_gold(house)
+    assert mart("fact_delivery_performance") == mart("fact_area_risk_daily") == want[:1]
