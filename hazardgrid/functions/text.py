@@ -80,7 +80,9 @@ def root_tag(xml: Column) -> Column:
 def closes_root(xml: Column, tag: Column) -> Column:
     """Whether the document ends with the end tag of its root element (or is that one empty tag)."""
     name = F.regexp_extract(tag, r"^([^\s/]+)", 1)
-    tail = F.regexp_extract(xml, r"(?s)</([^\s>]+)\s*>" + _EPILOG, 1)
+    # Mostly nothing stands behind the last end tag; only otherwise is the text searched.
+    last = F.regexp_extract(F.substring_index(xml, "</", -1), r"^([^\s>]+)\s*>\s*$", 1)
+    tail = F.when(last != "", last).otherwise(F.regexp_extract(xml, r"(?s)</([^\s>]+)\s*>" + _EPILOG, 1))
     return (name != "") & ((tail == name) | tag.endswith("/"))
 
 

@@ -25,8 +25,51 @@ _XML = {"ignoreNamespace": "true"}
 PARSED, MALFORMED, NO_INFO, NO_DATE = "PARSED", "MALFORMED_XML", "NO_INFO", "NO_INGESTION_DATE"
 
 
-_HIDDEN = r"(?s)<!--.*?-->"
-_ITEM = r"(?s)<item(?:\s[^>]*+)?+(?<!/)>.*?</item\s*>"
+# What a document consists of: comments, literal text, instructions, tags and plain text.
+_TOKEN = r"""(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>|[^<]++"""
+
+# A token's kind, and its text as it would stand between tags.
+_KIND = """case when t like '<!--%' or t like '<?%' then 'none'
+  when t like '<![CDATA[%' then 'text' when t like '<!%' then 'none'
+  when t like '</%' then 'end' when t like '<%/>' then 'empty' when t like '<%' then 'start' else 'text' end"""
+_PLAIN = """case when t like '<![CDATA[%'
+  then replace(replace(substring(t, 10, length(t) - 12), '&', '&amp;'), '<', '&lt;') else t end"""
+
+# Tokens are read with the open elements on a stack. An open item has its number and,
+# once its first link child has begun, that link's text so far; closed items are done.
+_READ = f"""aggregate(
+  transform(regexp_extract_all(_text, _token, 0), t -> struct({_KIND} as kind, {_PLAIN} as text,
+    regexp_extract(t, '^</?([^\\\\s/>]+)', 1) as name)),
+  named_struct('open', cast(array() as array<struct<item:int,link:string>>), 'taking', false, 'items', 0,
+               'done', cast(array() as array<struct<item:int,link:string>>)),
+  (s, t) -> case t.kind
+    when 'none' then s
+    when 'text' then if(s.taking,
+      named_struct('open', concat(slice(s.open, 1, size(s.open) - 2),
+                                  array(struct(s.open[size(s.open) - 2].item as item,
+                                               s.open[size(s.open) - 2].link || t.text as link)),
+                                  slice(s.open, size(s.open), 1)),
+                   'taking', true, 'items', s.items, 'done', s.done), s)
+    when 'end' then
+      named_struct('open', slice(s.open, 1, size(s.open) - 1), 'taking', false, 'items', s.items,
+                   'done', if(s.open[size(s.open) - 1].item is null, s.done,
+                              concat(s.done, slice(s.open, size(s.open), 1))))
+    else
+      named_struct(
+        'open', concat(
+          if(t.name like '%link' and get(s.open, size(s.open) - 1).item is not null
+               and s.open[size(s.open) - 1].link is null,
+             concat(slice(s.open, 1, size(s.open) - 1),
+                    array(struct(s.open[size(s.open) - 1].item as item, '' as link))),
+             s.open),
+          if(t.kind = 'start', array(struct(if(t.name like '%item', s.items, null) as item, cast(null as string) as link)),
+             cast(array() as array<struct<item:int,link:string>>))),
+        'taking', t.kind = 'start' and t.name like '%link' and get(s.open, size(s.open) - 1).item is not null
+                  and s.open[size(s.open) - 1].link is null,
+        'items', s.items + if(t.name like '%item', 1, 0),
+        'done', s.done)
+  end,
+  s -> array_sort(s.done))"""
 
 
 def _read_feeds(feeds: DataFrame, content: str) -> DataFrame:
@@ -43,22 +86,25 @@ def _read_feeds(feeds: DataFrame, content: str) -> DataFrame:
 
 
 def feed_links(feeds: DataFrame, feed_url: str, content: str = "content") -> DataFrame:
-    """One row per feed item, at any depth, that links to an alert document.
+    """One row per feed item, at any depth and in any namespace, that links to an alert document.
 
-    The first link element of an item counts; items whose first link is empty
-    are dropped. Links are resolved against the feed's own address. Feeds that
-    are no whole document yield no rows; ``feed_rejects`` has them.
+    Items may hold items; each counts for itself, numbered in the order they begin. The
+    first link child of an item counts, up to the first tag inside it; an item whose
+    first link is empty is dropped, one of white space alone links to the feed. Links
+    are resolved against the feed's own address. Feeds that are no whole document yield
+    no rows; ``feed_rejects`` has them.
     """
     keep = [c for c in feeds.columns if c != content]
-    items = F.regexp_extract_all(F.regexp_replace("_text", _HIDDEN, ""), F.lit(_ITEM), F.lit(0))
+    link = F.concat(F.lit("<item><link>"), F.col("_done.link"), F.lit("</link></item>"))
+    options = {**_XML, "ignoreSurroundingSpaces": "false"}
     return (
         _read_feeds(feeds, content)
         .filter("_whole")
-        .select(*keep, F.posexplode(items).alias("item_pos", "_xml"))
-        .withColumn("_item", F.from_xml("_xml", schemas.FEED_ITEM, _XML))
-        .withColumn("_link", text_or_null(F.get("_item.link", F.lit(0))))
-        .filter(F.col("_link").isNotNull())
-        .withColumn("url", resolve_link(feed_url, F.col("_link")))
+        .withColumn("_token", F.lit(_TOKEN))
+        .select(*keep, F.explode(F.expr(_READ)).alias("_done"))
+        .filter("_done.link <> ''")
+        .select(*keep, F.col("_done.item").alias("item_pos"), F.from_xml(link, schemas.FEED_ITEM, options).alias("_item"))
+        .withColumn("url", resolve_link(feed_url, strip_ws(F.coalesce(F.get("_item.link", F.lit(0)), F.lit("")))))
         .withColumn("identifier", alert_identifier(F.col("url")))
         .select(*keep, "item_pos", "url", "identifier")
     )
@@ -169,29 +215,63 @@ _FIRST_RECORD = [
 ]
 
 
-def weather_daily(mapped: DataFrame) -> DataFrame:
-    """One row per date and city: highest risk, alert count, first alert's details.
+def weather_events_daily(mapped: DataFrame) -> DataFrame:
+    """One row per date, city and event: highest risk, alert count, path and details of the first alert.
 
-    ``weather_event`` lists the events in path order, leaving out any that the
-    list already contains as text. A repeated event can never add to that list,
-    so the alerts are first reduced to one row per date, city and event: a city
-    with very many alerts is spread over its events and map-side combined, and
-    only distinct event texts meet in the final group.
+    A city with very many alerts is spread over its events and map-side combined.
     """
     first = F.struct("path", *_FIRST_RECORD)
-    per_event = mapped.groupBy("event_date", "city", "weather_event").agg(
+    return (
+        mapped.groupBy("event_date", "city", "weather_event")
+        .agg(
+            F.max("weather_risk").alias("weather_risk"),
+            F.sum("active_weather_alerts").alias("active_weather_alerts"),
+            F.min(first).alias("_first"),
+        )
+        .select(
+            "event_date",
+            "city",
+            "weather_event",
+            "weather_risk",
+            "active_weather_alerts",
+            F.col("_first.path").alias("first_path"),
+            *[f"_first.{c}" for c in _FIRST_RECORD],
+        )
+    )
+
+
+def weather_signal(mapped: DataFrame) -> DataFrame:
+    """(event_date, city, weather_risk, active_weather_alerts): what the risk mart needs, in one shuffle.
+
+    Takes alerts or events of days alike.
+    """
+    return mapped.groupBy("event_date", "city").agg(
         F.max("weather_risk").alias("weather_risk"),
         F.sum("active_weather_alerts").alias("active_weather_alerts"),
-        F.min(first).alias("_first"),
     )
-    events = F.sort_array(F.collect_list(F.struct(F.col("_first.path").alias("path"), "weather_event")))
+
+
+def weather_daily(mapped: DataFrame) -> DataFrame:
+    """One row per date and city: highest risk, alert count, first alert's details."""
+    return fold_events(weather_events_daily(mapped))
+
+
+def fold_events(events: DataFrame) -> DataFrame:
+    """Events of days as one row per date and city, the form of the hand-over.
+
+    ``weather_event`` lists the events in the order of their first paths, leaving out
+    any that the list already contains as text. A repeated event can never add to that
+    list, so one row per event is enough and only distinct texts meet here.
+    """
+    first = F.struct(F.col("first_path").alias("path"), *_FIRST_RECORD)
+    texts = F.sort_array(F.collect_list(F.struct("first_path", "weather_event")))
     return (
-        per_event.groupBy("event_date", "city")
+        events.groupBy("event_date", "city")
         .agg(
             F.max("weather_risk").alias("weather_risk"),
             F.sum("active_weather_alerts").alias("active_weather_alerts"),
-            F.min("_first").alias("_first"),
-            fold_texts(F.transform(events, lambda e: e["weather_event"])).alias("weather_event"),
+            F.min(first).alias("_first"),
+            fold_texts(F.transform(texts, lambda e: e["weather_event"])).alias("weather_event"),
         )
         .select(
             "event_date",

@@ -190,6 +190,9 @@ def alert_provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One alert feed per event, with links of every relative form and an item deeper down.
 
+    The last item is of another namespace, has its link partly in a CDATA section and
+    holds an item whose title looks like markup.
+
     Every 89th is cut off and every 113th ends with a byte that is no UTF-8.
     """
     name = F.concat(_alert_id(), F.lit(C.CAP_FILE_SUFFIX))
@@ -207,7 +210,11 @@ def feed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         item(link(F.lit("https://alerts.example/deep/"), _alert_id())),
         F.lit("</group><!-- "),
         item(link(F.lit("https://alerts.example/hidden/"), _alert_id())),
-        F.lit(" --></channel></rss>"),
+        F.lit(" --><x:item xmlns:x='urn:x' note='a > b'><x:link><![CDATA[/cap/a&b]]>"),
+        _alert_id(),
+        F.lit("<br/>cut</x:link><item><title><![CDATA[</item><!--]]></title><link>inner/&amp;"),
+        _alert_id(),
+        F.lit("</link></item><link>later</link></x:item></channel></rss>"),
     )
     events = _alert_events(spark, sf_dir).select("event_id", content.alias("content"))
     text = _cut("content", 89, 12).cast("binary")

@@ -29,14 +29,14 @@ def process_alerts(
     provinces: DataFrame | None = None,
     processed_at: Column | None = None,
 ) -> DataFrame:
-    """Daily weather records of the landed alert objects (of the given dates)."""
+    """Alerts of the landed objects (of the given dates), by date, city and event."""
     objects = landed.alert_objects(warehouse.spark, bronze_root, dates)
     mapped = alerts.map_alerts(
         alerts.parse_alerts(objects),
         lookups.province_cities(warehouse.spark) if provinces is None else provinces,
         processed_at,
     )
-    return alerts.weather_daily(mapped)
+    return alerts.weather_events_daily(mapped)
 
 
 def load_weather(warehouse: Warehouse, handover: str) -> None:
@@ -53,14 +53,16 @@ def run_weather(
     provinces: DataFrame | None = None,
     processed_at: Column | None = None,
 ) -> None:
-    """Alert objects to the hand-over file and from there into the table.
+    """Alert objects to the table of events, on to the hand-over file and into the daily table.
 
-    The file is the restart point: the load can be repeated without parsing the
-    documents again, and it computes them only once although the merge needs
-    its source more than once.
+    The documents are parsed once. The table of events and the file are restart
+    points; texts are folded only on the way into the file. Objects without an
+    ingestion date have no day and stay out.
     """
-    daily = process_alerts(warehouse, bronze_root, dates, provinces, processed_at)
-    jsonlines.write_weather_daily(daily, handover)
+    found = process_alerts(warehouse, bronze_root, dates, provinces, processed_at)
+    _store_mart(warehouse, found, "weather_events_daily", dates)
+    events_of_days = _of_dates(warehouse.table("weather_events_daily"), F.col("event_date"), dates)
+    jsonlines.write_weather_daily(alerts.fold_events(events_of_days), handover)
     load_weather(warehouse, handover)
 
 

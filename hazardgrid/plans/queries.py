@@ -98,6 +98,11 @@ def weather_alerts_unmapped(spark, sf):
     return alerts.unmapped_alerts(parsed, B.alert_provinces(spark, sf))
 
 
+@query
+def weather_events_daily(spark, sf):
+    return alerts.weather_events_daily(_mapped(spark, sf)).drop("processed_at")
+
+
 @query
 def weather_risk_daily(spark, sf):
     daily = alerts.weather_daily(_mapped(spark, sf)).drop("processed_at")
@@ -261,7 +266,8 @@ def station_lookup(spark, sf):
 
 def _signals(spark, sf):
     deliveries = delivery_performance(spark, sf)
-    environment = _environment(spark, sf).unionByName(B.unobserved_cell(spark))
+    signal = alerts.weather_signal(_mapped(spark, sf))
+    environment = signal.unionByName(B.unobserved_cell(spark).select(*signal.columns))
     air = airquality.air_quality_daily(_latest(spark, sf), B.as_of())
     return deliveries, environment, air
 
@@ -358,9 +364,8 @@ def daily_run_stored(spark, sf):
     house = _house(spark)
     jobs.prepare(house)
     house.overwrite(delivery.stage_driver_events(B.driver_events(spark, sf)), "driver_events")
-    _, environment, air = _signals(spark, sf)
-    tables.upsert_weather(house, environment)
-    tables.upsert_air_quality(house, air)
+    tables.upsert_weather(house, _environment(spark, sf).unionByName(B.unobserved_cell(spark)))
+    tables.upsert_air_quality(house, airquality.air_quality_daily(_latest(spark, sf), B.as_of()))
     days = [d.isoformat() for d in sorted(_days(house))]
     for part in (days[::2], days[1::2], days[:3]):  # the last days come again
         jobs.run_delivery(house, dates=part)

@@ -36,6 +36,26 @@ FEED_ITEM = _struct(link=T.ArrayType(STRING))
 
 PROVINCE_CITY = _struct(area_desc=STRING, city=STRING)
 
+# Alerts of a day and city by event; the hand-over folds them into one row.
+WEATHER_EVENTS_DAILY = _struct(
+    ("event_date", "city"),
+    event_date=DATE,
+    city=STRING,
+    weather_event=STRING,
+    weather_risk=DOUBLE,
+    active_weather_alerts=LONG,
+    first_path=STRING,
+    bmkg_alert_id=STRING,
+    severity=STRING,
+    urgency=STRING,
+    certainty=STRING,
+    area_desc=STRING,
+    effective=STRING,
+    expires=STRING,
+    headline=STRING,
+    processed_at=TIMESTAMP,
+)
+
 # Daily weather hand-over file (text timestamps, includes the headline).
 WEATHER_DAILY_JSON = _struct(
     event_date=DATE,

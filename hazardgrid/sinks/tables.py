@@ -25,6 +25,7 @@ VERSIONS = "_versions"
 # table -> (layer, schema, partition column, order inside the files)
 TABLES: dict[str, tuple[str, T.StructType, str | None, list[str]]] = {
     "driver_events": ("bronze", schemas.DRIVER_EVENTS, None, ["city"]),
+    "weather_events_daily": ("silver", schemas.WEATHER_EVENTS_DAILY, "event_date", ["city", "weather_event"]),
     "environment_risk_daily": ("silver", schemas.ENVIRONMENT_RISK_DAILY, "event_date", ["city"]),
     "openaq_air_quality_daily": ("silver", schemas.AIR_QUALITY_DAILY, "event_date", ["city"]),
     "openaq_station_mapping": ("silver", schemas.STATION_MAPPING, None, ["location_id"]),

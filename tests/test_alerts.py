@@ -1,12 +1,17 @@
+from datetime import date
 from random import Random
+from urllib.parse import urljoin
+from xml.etree import ElementTree
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardgrid import constants as C
 from hazardgrid.functions import lookups
 from hazardgrid.operators import alerts
 from hazardgrid.sources import landed
 
+D = date(2024, 1, 5)
 NS = f'xmlns="{C.CAP_NAMESPACE}"'
 
 
@@ -180,3 +185,59 @@ def test_roll_up_against_a_loop(spark):
         r.city: {"risk": r.weather_risk, "n": r.active_weather_alerts, "events": r.weather_event, "first": r.bmkg_alert_id}
         for r in got
     } == expected
+
+
+def links(spark, *documents):
+    feeds = spark.createDataFrame([(i, bytearray(d.encode())) for i, d in enumerate(documents)], "id INT, content BINARY")
+    return [(r.id, r.item_pos, r.url) for r in alerts.feed_links(feeds, "https://h/f/r.xml").orderBy("id", "item_pos").collect()]
+
+
+def test_feed_links_behind_markup_in_text(spark):
+    one = "<rss><item><title><![CDATA[</item> x]]></title><link>a</link></item><item><link>b</link></item></rss>"
+    two = "<rss><item><title><![CDATA[<!--]]></title><link>a</link></item><item><link>b</link><!-- --></item></rss>"
+    both = [(0, "https://h/f/a"), (1, "https://h/f/b")]
+    assert links(spark, one, two) == [(i, n, url) for i in (0, 1) for n, url in both]
+
+
+def test_feed_links_of_nested_prefixed_and_partial_elements(spark):
+    document = (
+        "<?xml version='1.0'?><!DOCTYPE rss><rss xmlns:m='urn:m'><m:item t='x>y'><m:link rel=\"a>b\">p<!-- no -->q<![CDATA[&r]]><b/>s</m:link>"
+        "<newsitem><m:link>&#65;&amp;b</m:link></newsitem><link>late</link></m:item>"
+        "<item/><item><group><link>deep</link></group><link/><link>second</link></item><item><hyperlink> </hyperlink></item>"
+        "<item><link><b>in</b></link></item></rss>"
+    )
+    assert links(spark, document) == [(0, 0, "https://h/f/pq&r"), (0, 1, "https://h/f/A&b"), (0, 4, "https://h/f/r.xml")]
+
+
+def test_feed_links_equal_a_tree_walk(spark):
+    """Random well-formed feeds against the library's own tree."""
+    random = Random(11)
+    names = ["item", "link", "x:item", "x:link", "title", "myitem", "backlink"]
+
+    def element(depth):
+        name = random.choice(names)
+        parts = [random.choice(["", " ", "a", "&lt;b", "<!-- <item> -->", "<![CDATA[<link>]]>", "<?p </item>?>"]) for _ in range(2)]
+        inner = "".join(random.choice([parts[0], parts[1], element(depth + 1) if depth < 4 else ""]) for _ in range(random.randint(0, 4)))
+        return f"<{name}>{inner}</{name}>" if inner or random.random() < 0.5 else f"<{name}/>"
+
+    feeds = [f"<rss xmlns:x='urn:x'>{''.join(element(0) for _ in range(4))}</rss>" for _ in range(150)]
+    want = []
+    for i, feed in enumerate(feeds):
+        items = [e for e in ElementTree.fromstring(feed).iter() if e.tag.endswith("item")]
+        for n, item in enumerate(items):
+            link = next((c for c in item if c.tag.endswith("link")), None)
+            if link is not None and link.text:
+                want.append((i, n, urljoin("https://h/f/r.xml", link.text.strip())))
+    assert len(want) > 50 and links(spark, *feeds) == want
+
+
+def test_the_signal_equals_the_daily_rows(spark):
+    rows = [(D, "A", f"e{i % 3}", float(i), 1, f"p{i}") for i in range(9)] + [(D, "B", None, None, 1, "q")]
+    schema = "event_date DATE, city STRING, weather_event STRING, weather_risk DOUBLE, active_weather_alerts BIGINT, path STRING"
+    mapped = spark.createDataFrame(rows, schema)
+    for c in ("bmkg_alert_id", "severity", "urgency", "certainty", "area_desc", "effective", "expires", "headline", "processed_at"):
+        mapped = mapped.withColumn(c, F.col("path"))
+    events = alerts.weather_events_daily(mapped)
+    daily = alerts.fold_events(events)
+    shown = lambda df: sorted(map(tuple, df.select("city", "weather_risk", "active_weather_alerts").collect()))
+    assert shown(alerts.weather_signal(mapped)) == shown(alerts.weather_signal(events)) == shown(daily) == [("A", 8.0, 9), ("B", None, 1)]
