@@ -83,3 +83,20 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
         pairs = _contract(pairs).checkpoint()
     return found.union(alone).groupBy("node").agg(F.min("component").alias("component"))
+
+
+def class_components(classes: DataFrame, rows: DataFrame, key: list[str], links: DataFrame) -> DataFrame:
+    """(cid, component_id) of classes in a component of more than one class.
+
+    ``classes`` have cid, rep (their smallest id) and ``key``, ``rows`` an id rid and the
+    key of their class, ``links`` two cids a and b. Classes are connected by links and by
+    an id that is in both; the component's id is the smallest of any of its classes.
+    """
+    many = rows.distinct().groupBy("rid").agg(F.count("*").alias("classes")).where("classes > 1").select("rid")
+    among = rows.distinct().join(many, "rid").join(classes.select("cid", *key), key).select("rid", "cid")
+    first = among.groupBy("rid").agg(F.min("cid").alias("first"))
+    shared = among.join(first, "rid").select(F.col("first").alias("a"), F.col("cid").alias("b"))
+    found = components(links.union(shared).where("a <> b")).withColumnRenamed("node", "cid")
+    joined = found.join(classes.select("cid", "rep"), "cid")
+    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
+    return joined.join(least, "component").select("cid", "component_id")

@@ -15,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import words
 from hazardgrid.llm.batches import binaries, groups, lists, stored
-from hazardgrid.llm.graph import components, roots
+from hazardgrid.llm.graph import class_components, components, roots
 
 _NO_ID = -(1 << 63)
 #: Bounds of one block of a cell.
@@ -179,7 +179,7 @@ def _verify(threshold: float):
 
 
 def _cells(members: DataFrame, threshold: float) -> DataFrame:
-    """(comp, cells, block, rep, tk, size): the cells each member is compared in.
+    """(comp, cells, block, cid, rep, tk, size): the cells each member is compared in.
 
     A small component is one cell. A large one is dealt by set size, as linked
     sets differ in size by the threshold at most, and each size class is salted
@@ -211,11 +211,12 @@ def _cells(members: DataFrame, threshold: float) -> DataFrame:
     return (
         members.join(classes, "comp")
         .withColumns({"here": F.col("nb")[sc], "above": F.col("nb")[sc + 1], "below": F.col("nb")[sc - 1]})
-        .withColumn("s", F.pmod(F.xxhash64("rep"), F.col("here")).cast("int"))
+        .withColumn("s", F.pmod(F.xxhash64("cid"), F.col("here")).cast("int"))
         .select(
             "comp",
             F.when(F.col("small"), one).otherwise(cells).alias("cells"),
             F.when(F.col("small"), F.lit(-1)).otherwise(code(sc, own)).cast("bigint").alias("block"),
+            "cid",
             "rep",
             "tk",
             "size",
@@ -245,9 +246,10 @@ def join_similar(
     Defined cases: a text without words links with nothing and is a class
     alone; a text of fewer than n words has one shingle, all its words; a null
     id links with nothing (its ids are null, it is kept); a repeated row counts
-    once as a document and is returned each time; of different texts under one
-    id the first by hash takes part, the others link with exact copies only.
-    Columns other than id and text are ignored. Links found are exact; a pair at the threshold is
+    once as a document and is returned each time; different texts under one id each
+    have their own row of links and share a component. A very long text is hashed
+    whole, its words are held at once. Columns other than id and text are ignored,
+    whatever their names. Links found are exact; a pair at the threshold is
     missed with probability 1 - recall at most, similar pairs far less often.
     """
     level = matched_depth(threshold, trees, depth, recall)
@@ -271,20 +273,20 @@ def join_similar(
         .agg(F.min("tk").alias("tk"))
         .groupBy(*key)
         .agg(F.min("rid").alias("rep"), F.min_by("tk", "rid").alias("tk"), F.count("*").alias("size"))
-        .withColumn("joins", F.row_number().over(Window.partitionBy("rep").orderBy(*key)) == 1),
+        .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    joining = classes.where("joins").drop("joins")
-    at = known.join(joining.select("rep", "tk", *key), [*key, "tk"]).where("rid = rep")
-    at = at.select("rep", F.explode("nodes").alias("node"))
-    heads = at.groupBy("node").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    chains = at.join(heads.select("node", "lo"), "node").where("rep > lo")
-    found = components(chains.select(F.col("lo").alias("a"), F.col("rep").alias("b")))
-    members = joining.join(found.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep")
+    at = known.join(classes.select("cid", "rep", "tk", *key), [*key, "tk"]).where("rid = rep")
+    # A row that is repeated brings its nodes again; chains do not mind.
+    at = at.select("cid", F.explode("nodes").alias("node"))
+    heads = at.groupBy("node").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi")
+    chains = at.join(heads.select("node", "lo"), "node").where("cid > lo")
+    found = components(chains.select(F.col("lo").alias("a"), F.col("cid").alias("b")))
+    members = classes.join(found.select(F.col("node").alias("cid"), F.col("component").alias("comp")), "cid")
     cells = stored(spark, _cells(members, threshold), "cells")
     sets = (
         rows.join(cells.withColumnRenamed("rep", "rid"), ["rid", "tk"])
-        .select("comp", "cells", "block", F.col("rid").alias("rep"), "size", "text")
+        .select("comp", "cells", "block", F.col("cid").alias("rep"), "size", "text")
         .mapInArrow(
             _sets(n),
             "comp bigint, cells array<struct<a:bigint,b:bigint>>, block bigint, rep bigint, size bigint, "
@@ -300,16 +302,18 @@ def join_similar(
         .mapInArrow(_verify(threshold), "rep bigint, root bigint, links bigint"),
         "links",
     )
-    counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")).where("a <> b"))
+    counts = linked.groupBy(F.col("rep").alias("cid")).agg(F.sum("links").alias("links"))
+    components_of = class_components(
+        classes, known.select("rid", *key), key, linked.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    )
     result = (
-        classes.join(counts.withColumn("joins", F.lit(True)), ["rep", "joins"], "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.join(counts, "cid", "left")
+        .join(components_of, "cid", "left")
         .select(
             *key,
             F.col("rep").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.when(F.col("joins"), F.coalesce("component", "rep")).otherwise(F.col("rep")).alias("component_id"),
+            F.coalesce("component_id", "rep").alias("component_id"),
         )
     )
     own = F.when(F.col("rid") != _NO_ID, F.col("rid"))

@@ -18,12 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardgrid.llm.batches import binaries, groups, stored
-from hazardgrid.llm.graph import components, roots
+from hazardgrid.llm.graph import class_components, roots
 
 _NO_ID = -(1 << 63)
 #: Rows of a block, and pivots at most.
@@ -32,14 +32,14 @@ BLOCK_ROWS, MAX_PIVOTS = 8192, 256
 _SLACK = 1e-6
 
 
-def _usable(dim: int, kind):
+def _usable(kind):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rids = np.asarray(batch.column("rid"))
             raw = []
             for v in batch.column("v"):
                 values = v.values
-                fits = v.is_valid and len(values) == dim and values.null_count == 0
+                fits = v.is_valid and len(values) > 0 and values.null_count == 0
                 x = np.asarray(values, kind) if fits else None
                 good = fits and np.isfinite(x).all() and x.any()
                 raw.append(x.tobytes() if good else None)
@@ -67,7 +67,7 @@ def _home(pivots: np.ndarray, width: float, kind):
                 near = angle.argmin(axis=1)
                 own = angle[np.arange(len(near)), near]
                 yield pa.record_batch(
-                    {c: batch.column(c) for c in ("rep", "size", "vec", "salt")}
+                    {c: batch.column(c) for c in ("cid", "size", "vec", "salt")}
                     | {
                         "pivot": pa.array(near, pa.int32()),
                         "ring": pa.array((own / width).astype(np.int32)),
@@ -89,7 +89,7 @@ def _deal(pivots: np.ndarray, cells: list, reach: float, kind):
                 part = batch.slice(at, 2048)
                 angle = _angles(_matrix(part.column("vec"), kind), pivots)
                 own = np.asarray(part.column("angle"))
-                rep = np.asarray(part.column("rep"))
+                cid = np.asarray(part.column("cid"))
                 cell = np.array([index[k] for k in zip(part.column("pivot").to_pylist(), part.column("ring").to_pylist())])
                 counts = np.array([c[4] for c in cells])[cell]
                 block = first[cell] + np.asarray(part.column("salt")) % counts
@@ -104,7 +104,7 @@ def _deal(pivots: np.ndarray, cells: list, reach: float, kind):
                                 "a": pa.array(np.minimum(block[rows], b), pa.int32()),
                                 "b": pa.array(np.maximum(block[rows], b), pa.int32()),
                                 "block": pa.array(block[rows], pa.int32()),
-                                "rep": pa.array(rep[rows], pa.int64()),
+                                "cid": pa.array(cid[rows], pa.int64()),
                                 "size": part.column("size").take(pa.array(rows)),
                                 "vec": part.column("vec").take(pa.array(rows)),
                             }
@@ -116,15 +116,15 @@ def _deal(pivots: np.ndarray, cells: list, reach: float, kind):
 def _compare(least: float, kind):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in groups(batches, ["a", "b"]):
-            rep, size = np.asarray(cell.column("rep")), np.asarray(cell.column("size"))
+            cid, size = np.asarray(cell.column("cid")), np.asarray(cell.column("size"))
             block = np.asarray(cell.column("block"))
             a, b = cell.column("a")[0].as_py(), cell.column("b")[0].as_py()
             left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
             if not len(left) or not len(right):
                 continue
             unit = _matrix(cell.column("vec"), kind)
-            links = np.zeros(len(rep), np.int64)
-            label = np.arange(len(rep))
+            links = np.zeros(len(cid), np.int64)
+            label = np.arange(len(cid))
             other = unit[right].T.copy()
             for i in range(0, len(left), 256):
                 rows = left[i : i + 256]
@@ -137,14 +137,14 @@ def _compare(least: float, kind):
                 links[rows] += hit @ size[right]
                 if a != b:
                     links[right] += size[rows] @ hit
-                every = np.arange(len(rep))
-                label = roots(len(rep), np.concatenate([every, rows[x]]), np.concatenate([label, right[y]]))
+                every = np.arange(len(cid))
+                label = roots(len(cid), np.concatenate([every, rows[x]]), np.concatenate([label, right[y]]))
             found = np.flatnonzero(links)
             if len(found):
                 yield pa.record_batch(
                     {
-                        "rep": pa.array(rep[found], pa.int64()),
-                        "root": pa.array(rep[label[found]], pa.int64()),
+                        "a": pa.array(cid[found], pa.int64()),
+                        "b": pa.array(cid[label[found]], pa.int64()),
                         "links": pa.array(links[found], pa.int64()),
                     }
                 )
@@ -152,6 +152,36 @@ def _compare(least: float, kind):
     return run
 
 
+def _links_of_one_length(
+    spark: SparkSession, vectors: DataFrame, n: int, cosine: float, block_rows: int, kind
+) -> DataFrame:
+    """(a, b, links) of ``n`` vectors (cid, size, vec, salt) of one length: pivots, rings, blocks."""
+    pivots = vectors.orderBy("salt", "cid").limit(min(max(-(-n // block_rows), 1), MAX_PIVOTS)).select("vec").collect()
+    width = math.acos(cosine)
+    centers = _matrix(pa.array([bytes(p["vec"]) for p in pivots], pa.binary()), kind)
+    homes = stored(
+        spark,
+        vectors.mapInArrow(
+            _home(centers, width, kind),
+            "cid bigint, size bigint, vec binary, salt bigint, pivot int, ring int, angle double",
+        ),
+        "homes",
+    )
+    cells = (
+        homes.groupBy("pivot", "ring")
+        .agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n"))
+        .orderBy("pivot", "ring")
+        .collect()  # a few rings of each pivot
+    )
+    cells = [(c["pivot"], c["ring"], c["low"], c["high"], -(-c["n"] // block_rows)) for c in cells]
+    pairs = homes.mapInArrow(_deal(centers, cells, width + _SLACK, kind), _BLOCKS)
+    linked = pairs.repartition("a", "b").sortWithinPartitions("a", "b")
+    return linked.mapInArrow(_compare(cosine, kind), "a bigint, b bigint, links bigint")
+
+
+_BLOCKS = "a int, b int, block int, cid bigint, size bigint, vec binary"
+
+
 def join_near(
     spark: SparkSession,
     vectors: DataFrame,
@@ -167,68 +197,49 @@ def join_near(
     links, itself included. Equal vectors are compared once, through their
     smallest id.
 
-    Defined cases: a vector that is null, zero, has null or non-finite
-    components or another length than most vectors links with nothing; so does
-    a null id (its component is null, it is kept); a repeated row counts once;
-    of different vectors under one id the first in byte order takes part, the
-    others link with exact copies only; an empty table gives an empty one.
+    Defined cases: a vector that is null, empty, zero or has null or non-finite
+    components links with nothing; so does a null id (its component is null, it is
+    kept); vectors of different lengths do not link; a repeated row counts once;
+    different vectors under one id each have their own row of links and share a
+    component; an empty table gives an empty one; columns other than id and vector
+    are ignored, whatever their names.
     """
     block_rows = block_rows or BLOCK_ROWS
-    double = isinstance(vectors.schema[vector_col].dataType.elementType, T.DoubleType)
-    kind = "<f8" if double else "<f4"
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    kind = "<f4" if single else "<f8"
     rows = vectors.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("rid"),
-        F.col(vector_col).cast("array<double>" if double else "array<float>").alias("v"),
+        F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"),
     )
-    sizes = rows.where("v is not null and size(v) > 0").groupBy(F.size("v").alias("dim")).count()
-    dim = sizes.orderBy(F.desc("count"), "dim").first()
-    known = stored(spark, rows.mapInArrow(_usable(dim["dim"] if dim else 1, kind), "rid bigint, vec binary"), "vectors")
+    known = stored(spark, rows.mapInArrow(_usable(kind), "rid bigint, vec binary"), "vectors")
     usable = known.where((F.col("rid") != _NO_ID) & F.col("vec").isNotNull())
-    classes = (
-        usable.distinct().groupBy("vec").agg(F.min("rid").alias("rep"), F.count("*").alias("size"))
+    classes = usable.distinct().groupBy("vec").agg(F.min("rid").alias("rep"), F.count("*").alias("size"))
+    classes = classes.withColumn("bytes", F.octet_length("vec")).withColumn("cid", F.monotonically_increasing_id())
+    classes = stored(spark, classes, "classes")
+    salt = F.pmod(F.xxhash64("rep", "vec"), F.lit(1 << 30))
+    joining = classes.select("cid", "size", "vec", "bytes", salt.alias("salt"))
+    sizes = joining.groupBy("bytes").count().collect()  # a row per length of vectors
+    large = [r for r in sizes if r["count"] > block_rows]
+    # Vectors of a length that fit one block need no pivots: they are its only cell.
+    small = joining.where(~F.col("bytes").isin([r["bytes"] for r in large])) if large else joining
+    cells = small.select(
+        F.col("bytes").alias("a"), F.col("bytes").alias("b"), F.col("bytes").alias("block"), "cid", "size", "vec"
     )
-    first = F.row_number().over(Window.partitionBy("rep").orderBy("vec")) == 1
-    classes = stored(spark, classes.withColumn("joins", first), "classes")
-    joining = classes.where("joins").select("rep", "size", "vec", F.xxhash64("rep", "vec").alias("salt"))
-    joining = joining.withColumn("salt", F.pmod("salt", F.lit(1 << 30)))
-    n = joining.count()
-    pivots = joining.orderBy("salt", "rep").limit(min(max(-(-n // block_rows), 1), MAX_PIVOTS)).select("vec").collect()
-    width = math.acos(cosine)
-    if n:
-        centers = _matrix(pa.array([bytes(p["vec"]) for p in pivots], pa.binary()), kind)
-        homes = stored(
-            spark,
-            joining.mapInArrow(
-                _home(centers, width, kind),
-                "rep bigint, size bigint, vec binary, salt bigint, pivot int, ring int, angle double",
-            ),
-            "homes",
-        )
-        cells = (
-            homes.groupBy("pivot", "ring")
-            .agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n"))
-            .orderBy("pivot", "ring")
-            .collect()  # a few rings of each pivot
-        )
-        cells = [(c["pivot"], c["ring"], c["low"], c["high"], -(-c["n"] // block_rows)) for c in cells]
-        pairs = homes.mapInArrow(
-            _deal(centers, cells, width + _SLACK, kind),
-            "a int, b int, block int, rep bigint, size bigint, vec binary",
-        )
-        linked = pairs.repartition("a", "b").sortWithinPartitions("a", "b")
-        linked = linked.mapInArrow(_compare(cosine, kind), "rep bigint, root bigint, links bigint")
-    else:
-        linked = spark.createDataFrame([], "rep bigint, root bigint, links bigint")
+    cells = cells.repartition("a", "b").sortWithinPartitions("a", "b")
+    linked = cells.mapInArrow(_compare(cosine, kind), "a bigint, b bigint, links bigint")
+    for r in large:
+        own = joining.where(F.col("bytes") == r["bytes"]).drop("bytes")
+        linked = linked.union(_links_of_one_length(spark, own, r["count"], cosine, block_rows, kind))
     linked = stored(spark, linked, "links")
-    counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")).where("a <> b"))
+    counts = linked.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
+    joined = class_components(classes, usable, ["vec"], linked.select("a", "b"))
     result = (
-        classes.join(counts.withColumn("joins", F.lit(True)), ["rep", "joins"], "left")
-        .join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        classes.join(counts, "cid", "left")
+        .join(joined, "cid", "left")
         .select(
-            F.col("vec"),
+            "vec",
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.when(F.col("joins"), F.coalesce("component", "rep")).otherwise(F.col("rep")).alias("component_id"),
+            F.coalesce("component_id", "rep").alias("component_id"),
         )
     )
     own = F.when(F.col("rid") != _NO_ID, F.col("rid"))

@@ -136,8 +136,8 @@ def _digested(width: int):
     return run
 
 
-def _runs(text: bytes, marks: np.ndarray, width: int, gram: int, spare: int) -> Iterator[tuple[int, int, int, int]]:
-    """(first window, windows, anchor's distance, anchor's hash) of all runs."""
+def _runs(text: bytes, marks: np.ndarray, width: int, gram: int, spare: int) -> Iterator[list]:
+    """(first window, windows, anchor's distance, anchor's hash) of all runs, a block's at a time."""
     data = np.frombuffer(text, np.uint8)
     for low, part in _blocks(data, width):
         named = _slide(_hashes(part, gram), width - gram + 1, np.minimum)
@@ -150,23 +150,34 @@ def _runs(text: bytes, marks: np.ndarray, width: int, gram: int, spare: int) ->
         cut = np.flatnonzero((keep[1:] != keep[:-1] + 1) | (anchor[keep[1:]] != anchor[keep[:-1]])) + 1
         first, last = keep[np.append(0, cut)], keep[np.append(cut - 1, len(keep) - 1)]
         at = anchor[first]
-        yield from zip((first + low).tolist(), (last - first + 1).tolist(), (at - first).tolist(), h[at].view(np.int64).tolist())
+        yield list(zip((first + low).tolist(), (last - first + 1).tolist(), (at - first).tolist(), h[at].view(np.int64).tolist()))
 
 
 def _anchored(width: int, gram: int, spare: int):
+    """A row per text and different run, with the places of the equal ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, text in _texts(batch):
                 marks = np.sort(np.asarray(batch.column("marks")[k].values).view(np.uint64))
-                found = list(_runs(text, marks, width, gram, spare))
-                for part in range(0, len(found), 1 << 16):
-                    rows = found[part : part + (1 << 16)]
-                    c1, c2 = _longs([_digest(text[at : at + size + width - 1]) for at, size, _, _ in rows])
-                    at, size, off, h = zip(*rows)
+                for found in _runs(text, marks, width, gram, spare):
+                    places: dict[bytes, list[int]] = {}
+                    kinds = []
+                    for at, size, off, h in found:
+                        digest = _digest(text[at : at + size + width - 1])
+                        own = places.setdefault(digest, [])
+                        if not own:
+                            kinds.append((size, off, h))
+                        own.append(at)
+                    c1, c2 = _longs(list(places))
+                    size, off, h = zip(*kinds)
+                    ats = list(places.values())
+                    bounds = np.concatenate([[0], np.cumsum([len(a) for a in ats])])
                     yield pa.record_batch(
                         {
-                            "tid": pa.array(np.full(len(rows), batch.column("tid")[k].as_py())),
-                            "at": pa.array(at, pa.int64()),
+                            "tid": pa.array(np.full(len(ats), batch.column("tid")[k].as_py())),
+                            "copies": pa.array(np.full(len(ats), batch.column("copies")[k].as_py())),
+                            "at": lists(np.concatenate(ats), bounds, pa.int64()),
                             "size": pa.array(size, pa.int32()),
                             "off": pa.array(off, pa.int32()),
                             "h": pa.array(h, pa.int64()),
@@ -292,20 +303,15 @@ def remove_repeated(
     suspects = stored(spark, once.join(marks, ["d1", "d2"]), "suspects")
     runs = stored(
         spark,
-        suspects.select("tid", "text", "marks").mapInArrow(
+        suspects.select("tid", "copies", "text", "marks").mapInArrow(
             _anchored(width, screen, spare),
-            "tid bigint, at bigint, size int, off int, h bigint, c1 bigint, c2 bigint",
+            "tid bigint, copies bigint, at array<bigint>, size int, off int, h bigint, c1 bigint, c2 bigint",
         ),
         "runs",
     )
-    single = suspects.where("copies = 1").select("tid", F.lit(1).alias("single"))
-    contents = stored(
-        spark,
-        runs.join(suspects.select("tid", "copies"), "tid")
-        .groupBy("h", "c1", "c2")
-        .agg(F.sum("copies").alias("times"), F.min(F.struct("tid", "at", "size", "off")).alias("one")),
-        "contents",
-    )
+    one = F.min(F.struct("tid", F.get("at", F.lit(0)).alias("at"), "size", "off"))
+    times = F.sum(F.size("at") * F.col("copies"))
+    contents = stored(spark, runs.groupBy("h", "c1", "c2").agg(times.alias("times"), one.alias("one")), "contents")
     buckets = contents.groupBy("h").agg(F.count("*").alias("ways"), F.min("times").alias("least")).where("ways > 1 and least = 1")
     contested = stored(
         spark,
@@ -341,15 +347,13 @@ def remove_repeated(
         .select("sid", "i", "rank", F.expr(f"slice(c, i + 1, {spare + 1})").alias("prefix"))
     )
     found = suffixes.shared_prefixes(spark, windows).join(contested.where("times = 1"), "sid")
-    whole = runs.join(contents.where("times > 1").select("h", "c1", "c2"), ["h", "c1", "c2"])
-    hits = found.select("tid", (F.col("at") + F.col("i")).alias("at"), F.lit(1).alias("size")).union(
-        whole.select("tid", "at", "size")
-    )
-    hits = (
-        hits.join(single, "tid")
-        .groupBy("tid")
-        .agg(F.collect_list(F.struct("at", (F.col("at") + F.col("size") + (width - 1)).alias("end"))).alias("hits"))
-    )
+    # Texts with copies go as a whole; of the others these runs and windows.
+    repeated = contents.where("times > 1").select("h", "c1", "c2")
+    whole = runs.where("copies = 1").join(repeated, ["h", "c1", "c2"])
+    hits = found.select("tid", F.array(F.col("at") + F.col("i")).alias("at"), F.lit(1).alias("size"))
+    hits = hits.union(whole.select("tid", "at", "size"))
+    covered = F.expr(f"transform(at, a -> struct(a as at, a + size + {width - 1} as end))")
+    hits = hits.select("tid", covered.alias("hits")).groupBy("tid").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     changed = stored(
         spark,
         suspects.join(hits, "tid")

@@ -82,3 +82,12 @@ def test_components_of_a_long_path_and_loops(spark):
     df = spark.createDataFrame(edges, "a BIGINT, b BIGINT")
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {**dict.fromkeys(range(201), 0), 500: 500, 900: 900, 901: 900}
+
+
+def test_every_text_under_an_id_links(spark):
+    """Two texts under id 1, one near the text of 2, the other near that of 3."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " z"), (3, two + " z"), (4, "other words alone"), (4, two), (5, "other words alone")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = sorted((r.doc_id, r.class_id, r.n_links, r.component_id) for r in lshjoin.join_similar(spark, df).collect())
+    assert found == [(1, 1, 1, 1), (1, 1, 2, 1), (2, 2, 1, 1), (3, 3, 2, 1), (4, 1, 2, 1), (4, 4, 1, 1), (5, 4, 1, 1)]

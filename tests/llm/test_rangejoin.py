@@ -71,7 +71,6 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in [*rows, (None, [1.0, 0.0])]], schema)
     got = rangejoin.join_near(spark, df).collect()
     want = near(dict(rows))
-    want[8] = (0, 8)
     assert len(got) == len(rows) + 1
     for r in got:
         assert (r.n_links, r.component_id) == want.get(r.vec_id, (0, None))
@@ -79,6 +78,26 @@ def test_odd_rows(spark):
     assert rangejoin.join_near(spark, df.limit(0)).count() == 0
 
 
+def test_every_vector_under_an_id_and_of_every_length_links(spark):
+    rows = [
+        (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.01]),
+        (6, [5.0]), (7, [2.0]), (7, [2.0]), (8, [-1.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    for block_rows in (1, 2, 100):
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in rangejoin.join_near(spark, df, block_rows=block_rows).collect())
+        assert got == [
+            (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 6), (7, 1, 6), (8, 0, 8),
+        ]
+
+
+def test_integers_are_compared_in_double_precision(spark):
+    rows = [(1, [100_000_001, 7]), (2, [100_000_003, 9]), (3, [-1, 1])]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<BIGINT>")
+    got = {r.vec_id: r.n_links for r in rangejoin.join_near(spark, df).collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
+
+
 def test_components_by_contraction_equal_the_local_finish(spark, monkeypatch):
     rng = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))] + [(i, i + 1) for i in range(200, 240)]
