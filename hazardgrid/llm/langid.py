@@ -239,8 +239,9 @@ def identify(
     Defined cases: a text that is null or has no letter is ``und`` with score
     0, and so is any text if nothing could be learned; with one language learned
     all others have that; a null id is not held out and not learned from;
-    repeated rows are judged alike; other columns are ignored; an empty table
-    gives an empty one.
+    repeated rows are judged alike; other columns are ignored, whatever their
+    names; an empty table gives an empty one; all trigrams of a very long text count,
+    averaged to the weight of ``EVIDENCE`` of them.
     """
     model = model or fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col)).alias("held_out"))

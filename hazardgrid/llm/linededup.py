@@ -123,7 +123,9 @@ def dedup_lines(
     Defined cases: a null or empty text is one empty line; a null id neither
     drops nor loses a line; rows that share an id are one document; columns of
     any name are kept, except that llm_* ones are replaced; an empty table
-    gives an empty one. Lines are known by 128 bits of hash.
+    gives an empty one; a very long text is split and joined again in the row
+    that holds it, only hashes and positions of its lines are shuffled. Lines are
+    known by 128 bits of hash.
     """
     docs = docs.drop(*[c for c in docs.columns if c.startswith("llm_")])
     return apply_bitmaps(docs, keep_bitmaps(spark, docs, min_chars, id_col, text_col), id_col, text_col)

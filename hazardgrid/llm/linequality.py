@@ -146,7 +146,9 @@ def judge(
 
     Defined cases: a null text is empty and fails; a null host is a host of its
     own; a row without id has base rules only; rows that share an id count as
-    one document of a host; an empty table gives an empty one.
+    one document of a host; an empty table gives an empty one; a very long text's
+    words are counted in the row that holds it, its lines become rows; columns
+    other than id, text and host are ignored, whatever their names.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(host_col).alias("host"))
     gone = removed_words(spark, own, max_share, min_docs, "doc_id", "text", "host")

@@ -72,6 +72,11 @@ def _number(text: Column) -> Column:
     return F.conv(F.substring(text, 1, 8), 16, 10).cast("bigint")
 
 
+def _source(name: Column) -> Column:
+    """A source as a key without nulls."""
+    return F.coalesce(F.concat(F.lit("="), name.cast("string")), F.lit(""))
+
+
 def plan_mix(
     spark: SparkSession,
     docs: DataFrame,
@@ -93,8 +98,11 @@ def plan_mix(
     Defined cases: a null or empty text has size 0 and takes 0; a null source
     is a source of its own; a null id is ordered as an empty one; repeated rows
     are documents of their own; a source without words has target 0; an empty
-    table gives an empty one. A source's taken words differ from its target by
-    about a block and by half a block per shard on average.
+    table gives an empty one; a very long text is counted in the row that holds it,
+    a source's text of any length is cut into blocks by positions alone; columns
+    other than id, text and source are ignored, whatever their names. A source's
+    taken words differ from its target by about a block and by half a block per
+    shard on average.
     """
     sized = stored(
         spark,
@@ -234,9 +242,9 @@ def mix_documents(
     """
     plan = plan_mix(spark, docs, block=block, id_col=id_col, text_col=text_col, **options)
     rid = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    same = Window.partitionBy("llm_rid", "llm_tk")
+    same = Window.partitionBy("llm_rid", "llm_tk", "llm_source")
     plan = plan.where("taken > 0").select(
-        rid.alias("llm_rid"), F.col("tk").alias("llm_tk"), "size", "taken", "passes", "place", "blocks", "chosen", "turn"
+        rid.alias("llm_rid"), F.col("tk").alias("llm_tk"), _source(F.col("source")).alias("llm_source"), "size", "taken", "passes", "place", "blocks", "chosen", "turn"
     )
     plan = plan.withColumn("llm_no", F.row_number().over(same.orderBy("place")))
     plan = plan.select(*[F.col(c).alias(c if c.startswith("llm_") else f"llm_{c}") for c in plan.columns])
@@ -245,10 +253,11 @@ def mix_documents(
         {
             "llm_rid": F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))),
             "llm_tk": F.xxhash64(F.col(text_col)),
+            "llm_source": _source(F.col(options.get("source_col", "source"))),
         }
     )
     rows = rows.withColumn("llm_no", F.row_number().over(same.orderBy(F.lit(0))))
-    joined = rows.join(plan, ["llm_rid", "llm_tk", "llm_no"])
+    joined = rows.join(plan, ["llm_rid", "llm_tk", "llm_source", "llm_no"])
     part = F.col("llm_taken") - F.col("llm_passes") * F.col("llm_size")
     whole = F.col("llm_passes") + F.when(part == F.col("llm_size"), 1).otherwise(0)
     times = F.array_repeat(F.lit(True), whole.cast("int"))

@@ -111,7 +111,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """Per row: doc_id, n_tokens under the unigram reading of the model's pieces.
 
     Defined cases: a null or empty text has no tokens; ids may be null or
-    repeat; other columns are ignored; an empty table gives an empty one.
+    repeat; other columns are ignored, whatever their names; an empty table gives
+    an empty one; a very long text's pieces are counted unit by unit.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),

@@ -263,7 +263,9 @@ def write_ids(
     Documents are range-partitioned and sorted by id; each partition is one
     shard and streams its segments. Defined cases: a null text is empty, an
     empty text has the end id only; null ids come first; rows that share an id
-    follow each other in order of their text; an empty table gives no segment.
+    follow each other in order of their text; an empty table gives no segment; a
+    very long text makes a segment of its own that is held at once; columns other
+    than id and text are ignored, whatever their names.
     """
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("rid"),

@@ -364,7 +364,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
 
     Defined cases: a null or empty text has no ids; all other columns, nulls
     and repeated rows included, are returned as they are; a column that is
-    named ids already is replaced; an empty table gives an empty one.
+    named ids already is replaced; an empty table gives an empty one; a very long
+    text is encoded whole, its ids are held at once.
     """
     rows = docs.drop("ids") if text_col != "ids" else docs
     rows = rows.withColumn(text_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")))

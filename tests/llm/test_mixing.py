@@ -101,3 +101,16 @@ def test_odd_rows(spark):
     assert mixing.plan_mix(spark, df.limit(0)).count() == 0
     nothing = mixing.plan_mix(spark, df.where("doc_id in (2, 3)")).collect()
     assert {(r.target, r.taken) for r in nothing} == {(0.0, 0)}
+
+
+def test_equal_documents_of_two_sources_keep_their_own_words(spark):
+    """One text under one id, in a source that gives all of it three times and one that gives little."""
+    text = " ".join(f"w{i}" for i in range(640))
+    rows = [(1, text, "a"), (1, text, "b")] + [(10 + i, " ".join(f"x{i}y{j}" for j in range(640)), "a") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    taken = {(r.doc_id, r.source): r.taken for r in mixing.plan_mix(spark, df).where("doc_id = 1").collect()}
+    assert taken[1, "a"] != taken[1, "b"] == 3 * 640
+    got = {}
+    for r in mixing.mix_documents(spark, df).where("doc_id = 1").collect():
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
+    assert got == {k: v for k, v in taken.items() if v}
