@@ -46,6 +46,9 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = run_folder(spark, name)
     df.write.parquet(path)
     drop_at_exit(spark, path)
+    # Spark deletes a finished job's shuffle files once the driver has collected its plan,
+    # which a driver with much memory may not do before the disks of the workers are full.
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

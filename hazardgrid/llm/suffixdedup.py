@@ -31,7 +31,8 @@ from hazardgrid.llm import suffixes, words
 from hazardgrid.llm.batches import binaries, lists, stored
 
 #: Bytes of a window, of the screen's grams and, less than the window, of the anchors' grams.
-WIDTH, SCREEN, SPARE = 400, 200, 20
+#: A window is one letter more than the last, so two levels of names reach it.
+WIDTH, SCREEN, SPARE = 400, 200, 8
 #: Windows of a text that are worked on at once.
 BLOCK = 1 << 20
 
