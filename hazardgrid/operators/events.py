@@ -125,29 +125,29 @@ def validate_strict(parsed: DataFrame, as_of: Column | None = None) -> DataFrame
 
 
 def validate_ingest_age(parsed: DataFrame) -> DataFrame:
-    """Apply the lenient rules: the first problem is reported, stale stays valid."""
+    """Apply the lenient rules: the first problem is reported, stale stays valid.
+
+    Parser, missing fields and negative values are reported in this rule set's own
+    words; whatever else cannot be worked with has a token of its own.
+    """
     obj = F.col("_obj")
     missing = _joined(
         *[F.when(lacks(obj, k), f"'{k}'") for k in C.INGEST_AGE_REQUIRED_FIELDS], separator=", "
     )
     utc = F.col("measurement_datetime.utc")
     stamp = F.col("ingestion_timestamp")
-    quoted = lambda lead, text: F.concat(F.lit(lead + ": '"), text, F.lit("'"))
-    # Error texts of this rule set.
+    # The first two texts and that of a negative value.
     error = (
         F.when(obj.isNull(), "JSON parsing error")
         .when(F.col("_missing") != "", F.concat(F.lit("Missing required fields: ["), F.col("_missing"), F.lit("]")))
-        .when(obj["value"].isNull(), "float() argument must be a string or a real number, not 'NoneType'")
-        .when(F.col("value").isNull(), quoted("could not convert string to float", obj["value"]))
+        .when(obj["value"].isNull(), "NULL_VALUE")
+        .when(F.col("value").isNull(), "INVALID_VALUE")
         .when(F.col("value") < 0, F.concat(F.lit("Negative PM2.5 value: "), F.col("value").cast("string")))
-        .when(obj["measurement_datetime"].isNull(), "'NoneType' object is not subscriptable")
-        .when(utc.isNull(), "'utc'")
-        .when(F.col("_measured_at").isNull(), quoted("Invalid isoformat string", utc))
-        .when(F.col("_ingested_at").isNull(), quoted("Invalid isoformat string", F.coalesce(stamp, F.lit("None"))))
-        .when(
-            times.has_offset(utc) != times.has_offset(stamp),
-            "can't subtract offset-naive and offset-aware datetimes",
-        )
+        .when(obj["measurement_datetime"].isNull(), "MISSING_MEASUREMENT_DATETIME")
+        .when(utc.isNull(), "MISSING_MEASUREMENT_UTC")
+        .when(F.col("_measured_at").isNull(), "INVALID_MEASUREMENT_TIMESTAMP")
+        .when(F.col("_ingested_at").isNull(), "INVALID_INGESTION_TIMESTAMP")
+        .when(times.has_offset(utc) != times.has_offset(stamp), "MIXED_TIME_ZONES")
         .otherwise("")
     )
     age = F.col("_age")

@@ -118,6 +118,23 @@ def weather_handover(spark, sf):
     return daily.drop("processed_at")
 
 
+@query
+def landed_records(spark, sf):
+    """Newest record per user and ingestion date: two days landed, the first of them again.
+
+    Arrival is known to the hour, so records tie; their content settles it.
+    """
+    out = _run_dir(spark, "landing")
+    hour = F.floor(F.unix_seconds("ts") / 3600)
+    rows = B.events_table(spark, sf).select("event_id", "user_id", hour.alias("arrival"))
+    for day, part in (("2024-02-01", 2), ("2024-02-02", 3), ("2024-02-01", 5)):
+        batch = rows.where(F.col("event_id") % part == 0)
+        tables.land_records(batch.select("user_id", "arrival", "event_id"), out, "user_id", "arrival", day)
+    schema = "user_id BIGINT, arrival BIGINT, event_id BIGINT, ingestion_date DATE"
+    (landed_rows,) = _taken(spark, out, _written(spark, schema, out))
+    return landed_rows
+
+
 @query
 def landing_names(spark, sf):
     """Object names under which feeds land: ingestion date folder and compact stamp."""

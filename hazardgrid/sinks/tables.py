@@ -180,17 +180,23 @@ def upsert_air_quality(warehouse: Warehouse, rows: DataFrame) -> None:
     warehouse.upsert("openaq_air_quality_daily", rows, columns)
 
 
+def content_hash(columns: list[str]) -> Column:
+    """SHA-256 of columns as one JSON object with null fields written out."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
 def land_records(df: DataFrame, path: str, key: str, arrival: str, ingestion_date: str) -> None:
     """Land records under ``ingestion_date=`` so that a re-ingest replaces its own.
 
-    Within a batch the record with the highest ``arrival`` wins; records landed
+    Within a batch the record with the highest ``arrival`` wins, of several with it the
+    one whose content has the largest SHA-256; records landed
     earlier the same day stay unless the batch brings the same key. Only the
     folder of that day is read and rewritten.
     """
     values = [c for c in df.columns if c != key]
     landed = (
         df.groupBy(key)
-        .agg(F.max_by(F.struct(*values), F.col(arrival)).alias("_row"))
+        .agg(F.max_by(F.struct(*values), F.struct(F.col(arrival), content_hash(values))).alias("_row"))
         .select(key, *[F.col("_row")[c].alias(c) for c in values])
         .select(*df.columns)
     )

@@ -170,10 +170,10 @@ def test_ingest_age_rules(spark):
         ("CURRENT", 24.0), ("STALE", 24.02), ("CURRENT", -24.0),
     ]
     assert errors(rows)[3:] == [
-        "could not convert string to float: 'x'",
-        "float() argument must be a string or a real number, not 'NoneType'",
-        "Invalid isoformat string: 'garbage'",
-        "can't subtract offset-naive and offset-aware datetimes",
+        "INVALID_VALUE",
+        "NULL_VALUE",
+        "INVALID_MEASUREMENT_TIMESTAMP",
+        "MIXED_TIME_ZONES",
         "Missing required fields: ['source', 'value']",
         "JSON parsing error",
         None,

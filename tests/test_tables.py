@@ -92,6 +92,16 @@ def test_land_records_replaces_same_day_reingest(spark, tmp_path):
     assert got == [(D1, "a", "3"), (D1, "b", "1"), (D1, "c", "1"), (D2, "a", "1")]
 
 
+def test_landing_does_not_depend_on_the_order_of_rows(spark, tmp_path):
+    rows = [("a", f"body{i}", 7) for i in range(20)]
+    won = set()
+    for n, order in enumerate((rows, rows[::-1], rows[7:] + rows[:7])):
+        df = spark.createDataFrame(order, "identifier STRING, body STRING, seq INT").repartition(4)
+        tables.land_records(df, f"{tmp_path}/{n}", "identifier", "seq", "2024-01-01")
+        won.add(spark.read.parquet(f"{tmp_path}/{n}").first().body)
+    assert len(won) == 1
+
+
 def test_stream_writes_json_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "m.jsonl").write_text(message() + "\nbroken\n", encoding="utf-8")
