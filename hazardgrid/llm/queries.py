@@ -117,6 +117,12 @@ def op9_line_quality(spark, sf):
     return linequality.judge(spark, table(spark, sf, "documents"))
 
 
+@query
+def line_quality_small_hosts(spark, sf):
+    """The same judgement for hosts of few documents: a line may be in three of them."""
+    return linequality.judge(spark, table(spark, sf, "documents"), min_docs=3)
+
+
 @query
 def op10_token_counts(spark, sf):
     return tokencount.count_tokens(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -206,6 +212,8 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM counts
 """
 
+ORACLES["line_quality_small_hosts"] = ORACLES["op9_line_quality"].replace("> 50 AND", "> 3 AND")
+
 ORACLES["op4_source_mixing"] = r"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

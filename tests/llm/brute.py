@@ -201,3 +201,50 @@ def repeated_bytes(docs, width=400):
         ends = [0, *(x for s in spans for x in s), len(b)]
         out.append((d, len(b), spans, b"".join(b[s:e] for s, e in zip(ends[::2], ends[1::2]))))
     return out
+
+
+def trigrams(text):
+    """Bucket of every three neighbouring bytes, one space before and two behind the text."""
+    kinds = []
+    last = 0
+    for b in f" {text}  ".encode():
+        low = b + 0x20 if last == 0xC3 and 0x80 <= b <= 0x9E else b
+        last = b
+        kinds.append(low - 101 if low >= 128 else low % 32 if chr(low).isalpha() else 0)
+    codes = [(a * 160 + b) * 160 + c for a, b, c in zip(kinds, kinds[1:], kinds[2:])]
+    return [max((c * 0x9E3779B1 % 2**32) >> 16, 1) for c in codes if c]
+
+
+def languages(docs, buckets=1 << 16, evidence=20):
+    """docs: (doc_id, text, lang) rows of two to five languages -> (doc_id, held_out, lang_pred, score) rows."""
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    counts = {}
+    for d, t, x in docs:
+        if d is not None and t is not None and x is not None and not held(d):
+            counts.setdefault(x, Counter()).update(trigrams(t))
+    names = sorted(counts)
+    totals = {x: sum(counts[x].values()) + buckets / 2 for x in names}
+    share = lambda x, g: (counts[x][g] + 0.5) / totals[x]
+    # Every split of the languages into two sides, the first one always on the same side.
+    bits = [{names[0], *(x for k, x in enumerate(names[1:]) if m >> k & 1)} for m in range(2 ** (len(names) - 1) - 1)]
+    odds, weights = [], []
+    for side in bits:
+        mean = lambda g, inside: sum(share(x, g) for x in names if (x in side) == inside) / sum((x in side) == inside for x in names)
+        both = [(mean(g, True), mean(g, False)) for g in range(buckets)]
+        odds.append([math.log(y / n) for y, n in both])
+        weights.append(sum(y * math.log(2 * y / (y + n)) + n * math.log(2 * n / (y + n)) for y, n in both))
+    average = sum(weights) / len(weights)
+    out = []
+    for d, t, _ in docs:
+        if t is None or not any(c.isalpha() for c in t):
+            out.append((d, held(d), "und", 0.0))
+            continue
+        found = trigrams(t)
+        margins = [sum(o[g] for g in found) * min(1, evidence / len(found)) for o in odds]
+        loss = {
+            x: sum(w / average * math.log1p(math.exp(-m if x in side else m)) for w, m, side in zip(weights, margins, bits))
+            for x in names
+        }
+        best = min(names, key=lambda x: loss[x])
+        out.append((d, held(d), best, 1 / sum(math.exp(loss[best] - loss[x]) for x in names)))
+    return out

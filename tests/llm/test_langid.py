@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from hazardgrid.llm import langid, queries
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.01"
 
@@ -23,6 +24,14 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97 * len(held)
 
 
+def test_query_equals_the_plain_version(spark):
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = sorted(queries.QUERIES["op5_language_id"](spark, "/root/testdata/sf0.001").collect())
+    want = sorted(brute.languages(docs))
+    assert [(r.doc_id, r.held_out, r.lang_pred) for r in got] == [w[:3] for w in want]
+    assert all(abs(r.score - w[3]) < 1e-9 for r, w in zip(got, want))
+
+
 def test_odd_rows(spark):
     rows = [(i, "the house is over there", "en", 1) for i in range(20)]
     rows += [(i, "das Haus steht ÜBER dort und schläft", "de", 1) for i in range(20, 40)]

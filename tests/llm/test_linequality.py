@@ -26,6 +26,13 @@ def test_query_equals_sql(spark):
     assert compare(queries.QUERIES["op9_line_quality"](spark, SF), con, queries.ORACLES["op9_line_quality"]) == []
 
 
+def test_small_hosts_equal_sql_and_lose_lines(spark):
+    name = "line_quality_small_hosts"
+    df = queries.QUERIES[name](spark, SF)
+    assert compare(df, connect(SF), queries.ORACLES[name]) == []
+    assert df.where("n_line_words > 0").count() > 100
+
+
 def test_odd_rows(spark):
     texts = [
         None, "", " \n\t", "a b c d e f g h i j", "a b c d e a b c d e", "x " * 3000 + "y", "é ü\x0bñ <#|> $",
