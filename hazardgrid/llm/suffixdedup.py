@@ -265,8 +265,8 @@ def remove_repeated(
 
     Defined cases: a null text is empty; a text shorter than the window keeps all; every
     row counts, so repeated rows remove each other, whatever their ids; a null id stays
-    null; a very long text is hashed in blocks, its runs are held at once; an empty table
-    gives an empty one; columns other than id and text are ignored, whatever their names.
+    null; a very long text is held once and worked on in blocks; an empty table gives an
+    empty one; columns other than id and text are ignored, whatever their names.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
