@@ -310,13 +310,20 @@ def remove_repeated(
         ),
         "runs",
     )
-    one = F.min(F.struct("tid", F.get("at", F.lit(0)).alias("at"), "size", "off"))
+    # Anchors whose runs are all alike settle them at once; a single run is not repeated.
+    content = F.struct("c1", "c2")
     times = F.sum(F.size("at") * F.col("copies"))
-    contents = stored(spark, runs.groupBy("h", "c1", "c2").agg(times.alias("times"), one.alias("one")), "contents")
-    buckets = contents.groupBy("h").agg(F.count("*").alias("ways"), F.min("times").alias("least")).where("ways > 1 and least = 1")
+    buckets = runs.groupBy("h").agg(F.min(content).alias("low"), F.max(content).alias("high"), times.alias("times"))
+    buckets = stored(
+        spark, buckets.where("times > 1").select("h", (F.col("low") != F.col("high")).alias("mixed")), "buckets"
+    )
+    mixed = stored(spark, runs.join(buckets.where("mixed").select("h"), "h"), "mixed")
+    one = F.min(F.struct("tid", F.get("at", F.lit(0)).alias("at"), "size", "off"))
+    contents = stored(spark, mixed.groupBy("h", "c1", "c2").agg(times.alias("times"), one.alias("one")), "contents")
+    unsettled = contents.groupBy("h").agg(F.min("times").alias("least")).where("least = 1")
     contested = stored(
         spark,
-        contents.join(buckets.select("h"), "h")
+        contents.join(unsettled.select("h"), "h")
         .select("times", "one.*")
         .withColumn("sid", F.monotonically_increasing_id()),
         "contested",
@@ -349,10 +356,11 @@ def remove_repeated(
     )
     found = suffixes.shared_prefixes(spark, windows).join(contested.where("times = 1"), "sid")
     # Texts with copies go as a whole; of the others these runs and windows.
+    alike = runs.where("copies = 1").join(buckets.where("not mixed").select("h"), "h").select("tid", "at", "size")
     repeated = contents.where("times > 1").select("h", "c1", "c2")
-    whole = runs.where("copies = 1").join(repeated, ["h", "c1", "c2"])
+    again = mixed.where("copies = 1").join(repeated, ["h", "c1", "c2"]).select("tid", "at", "size")
     hits = found.select("tid", F.array(F.col("at") + F.col("i")).alias("at"), F.lit(1).alias("size"))
-    hits = hits.union(whole.select("tid", "at", "size"))
+    hits = hits.union(alike).union(again)
     covered = F.expr(f"transform(at, a -> struct(a as at, a + size + {width - 1} as end))")
     hits = hits.select("tid", covered.alias("hits")).groupBy("tid").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     changed = stored(
