@@ -1,3 +1,4 @@
+import time
 from datetime import date
 from random import Random
 from urllib.parse import urljoin
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardgrid import constants as C
 from hazardgrid.functions import lookups
+from hazardgrid.functions.text import alert_identifier
 from hazardgrid.operators import alerts
 from hazardgrid.sources import landed
 
@@ -241,3 +243,28 @@ def test_the_signal_equals_the_daily_rows(spark):
     daily = alerts.fold_events(events)
     shown = lambda df: sorted(map(tuple, df.select("city", "weather_risk", "active_weather_alerts").collect()))
     assert shown(alerts.weather_signal(mapped)) == shown(alerts.weather_signal(events)) == shown(daily) == [("A", 8.0, 9), ("B", None, 1)]
+
+
+def test_feed_links_of_a_feed_with_very_many_items(spark):
+    n = 4_000
+    document = "<rss>" + "".join(f"<item><title>t</title><link>a{i}</link></item>" for i in range(n)) + "</rss>"
+    start = time.perf_counter()
+    assert links(spark, document) == [(0, i, f"https://h/f/a{i}") for i in range(n)]
+    assert time.perf_counter() - start < 15
+
+
+def test_feed_links_that_a_reader_changes(spark):
+    """References, line ends and the end of literal text are read as XML, all else as it is."""
+    feed = "<rss>{}</rss>".format("".join(f"<item><link>{t}</link></item>" for t in (
+        "a&#x2f;b", "a&lt;b", "a\r\nb", "<![CDATA[a]]]]><![CDATA[>b]]>", "\u00e9\u2028", "a/./b//c/", "x?y=/../z", "x_alert.xml_alert.xml//",
+    )))
+    assert [u.removeprefix("https://h/f/") for _, _, u in links(spark, feed)] == [
+        "a/b", "a<b", "a\nb", "r.xml", "\u00e9\u2028", "a/b/c/", "x?y=/../z", "x_alert.xml_alert.xml/",
+    ]
+
+
+def test_identifier_is_the_last_segment_without_suffix(one):
+    urls = ["h/a_alert.xml", "h/a_alert.xml_alert.xml//", "/", "", None, "h/_alert.xml", "h/b\n", "h/\u00e9_alert.xml", "h/c\u2028", "h/d_alert.xml\n"]
+    assert one(alert_identifier(F.col("v")), "STRING", urls) == [
+        "a", "a_alert.xml", "", "", None, "", "b", "\u00e9", "c", "d",
+    ]
