@@ -46,6 +46,13 @@ def test_gold_reads_every_signal_once(spark):
     assert plan.count("from_json(ArrayType(") == 1
 
 
+def test_joined_gold_reads_kept_signals(spark):
+    """Spine and joins read the signals twice, so each is computed before them."""
+    plan = plan_of(QUERIES["area_risk_daily_joined"](spark, SF_DIR), "simple")
+    for source in ("lineitem.parquet", "events.parquet", "from_xml(", "from_json("):
+        assert source not in plan
+
+
 def test_latest_observation_is_ranked_before_the_shuffle_and_the_join(spark):
     plan = plan_of(QUERIES["air_quality_latest"](spark, SF_DIR), "simple")
     lines = plan.splitlines()
