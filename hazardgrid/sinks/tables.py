@@ -70,12 +70,12 @@ class Warehouse:
         return self.spark.table(self.name(table)).select(*TABLES[table][1].fieldNames())
 
     @contextmanager
-    def staged(self, df: DataFrame, table: str) -> Iterator[DataFrame]:
-        """``df`` written once to a stage table that is dropped afterwards."""
+    def staged(self, df: DataFrame, table: str) -> Iterator[str]:
+        """Name of a stage table ``df`` is written to, once; what has that name afterwards is dropped."""
         stage = f"{self.name(table)}_stage_{uuid.uuid4().hex[:12]}"
         try:
             df.write.format("parquet").saveAsTable(stage)
-            yield self.spark.table(stage)
+            yield stage
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
 
@@ -83,16 +83,36 @@ class Warehouse:
         """Replace a whole table, as materialising a mart does.
 
         The rows are computed into a stage first: a job that fails leaves the
-        previous content in place.
+        previous content in place. A table without partitions is written once, its
+        stage takes the table's name.
         """
         _, schema, partition, order = TABLES[table]
-        with self.staged(_conform(df, schema), table) as rows:
-            writer = _clustered(rows, partition, order).write.mode("overwrite").format("parquet")
-            if partition:
-                # Also drops the partitions the new content no longer has.
-                writer = writer.partitionBy(partition).option("partitionOverwriteMode", "static")
+        rows = _conform(df, schema)
+        if partition is None:
+            with self.staged(_clustered(rows, partition, order), table) as stage:
+                self._take_name(table, stage)
+            return
+        with self.staged(rows, table) as stage:
+            writer = _clustered(self.spark.table(stage), partition, order).write.mode("overwrite").format("parquet")
+            # Also drops the partitions the new content no longer has.
+            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "static")
             writer.saveAsTable(self.name(table))
 
+    def _take_name(self, table: str, stage: str) -> None:
+        """Give a stage the name of a table; the table it replaces is dropped last."""
+        name, old = self.name(table), f"{self.name(table)}_old_{uuid.uuid4().hex[:12]}"
+        replaces = self.spark.catalog.tableExists(name)
+        if replaces:
+            self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            self.spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+        except Exception:
+            if replaces:
+                self.spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        if replaces:
+            self.spark.sql(f"DROP TABLE {old}")
+
     def seed_stations(self) -> None:
         """(Re)write the station mapping; running it again does not duplicate it."""
         seed = airquality.assert_unique_stations(lookups.station_seed(self.spark))
@@ -114,7 +134,8 @@ class Warehouse:
         """
         _, schema, partition, order = TABLES[table]
         self.create_table(table)
-        with self.staged(quality.require_keys(source.select(*KEYS, *update_cols), KEYS), table) as rows:
+        with self.staged(quality.require_keys(source.select(*KEYS, *update_cols), KEYS), table) as stage:
+            rows = self.spark.table(stage)
             first, last = rows.agg(F.min(partition), F.max(partition)).first()
             if first is None:
                 return

@@ -148,3 +148,16 @@ def test_rounding_of_large_and_odd_values(one):
     ]
     odd = [1e25, inf, -inf, 0.0049999999, 2.675, 0.005, None]
     assert one(numbers.round_half_up(V("v"), 2), "DOUBLE", odd) == [1e25, inf, -inf, 0.0, 2.68, 0.01, None]
+
+
+def test_values_computed_once_keep_other_columns(spark):
+    from hazardgrid.functions.staging import evaluate_once
+
+    df = spark.sql("SELECT 1 AS `a.b`, 'x' AS v")
+    rows = evaluate_once(df, "twice", F.concat("v", "v"))
+    assert rows.columns == ["a.b", "v", "twice"] and tuple(rows.first()) == (1, "x", "xx")
+
+
+def test_utf8_of_ascii_and_other_bytes(one):
+    rows = [b"plain", "é".encode(), b"\xe9", b"ab\x80", "€ 1".encode(), b"", None]
+    assert one(text.utf8_text(V("v")), "BINARY", rows) == ["plain", "é", None, None, "€ 1", "", None]

@@ -326,3 +326,39 @@ def test_marts_of_given_dates(spark, tmp_path):
     jobs.run_delivery(house)
     jobs.run_gold(house)
     assert mart("fact_delivery_performance") == mart("fact_area_risk_daily") == want[:1]
+
+
+def test_unpartitioned_tables_are_written_once(spark):
+    """The stage becomes the table; a job that fails leaves the previous content, and nothing else is left."""
+    house = Warehouse(spark, "once")
+    house.create_namespaces()
+    mapping = house.name("openaq_station_mapping")
+    values = [tuple(r) for r in lookups.station_seed(spark).collect()]
+    first = spark.createDataFrame(values[:5], schemas.STATION_MAPPING)
+    house.overwrite(first, "openaq_station_mapping")
+    spark.sparkContext.setJobGroup("once", "one table")
+    try:
+        house.overwrite(spark.createDataFrame(values[:3], schemas.STATION_MAPPING), "openaq_station_mapping")
+        jobs_run = spark.sparkContext.statusTracker().getJobIdsForGroup("once")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs_run) == 1
+    assert spark.table(mapping).count() == 3
+    broken = spark.createDataFrame(values[:1], schemas.STATION_MAPPING).withColumn("city", F.raise_error(F.lit("no city")))
+    with pytest.raises(Exception, match="no city"):
+        house.overwrite(broken, "openaq_station_mapping")
+    assert spark.table(mapping).count() == 3
+    # A table may be computed from itself.
+    house.overwrite(house.table("openaq_station_mapping").limit(2), "openaq_station_mapping")
+    assert house.table("openaq_station_mapping").count() == 2
+    left = spark.sql(f"SHOW TABLES IN {house.namespace('silver')}").where("NOT isTemporary").collect()
+    assert [r.tableName for r in left] == ["openaq_station_mapping"]
+
+
+def test_a_stage_that_cannot_take_the_name_leaves_the_table(spark):
+    house = Warehouse(spark, "named")
+    house.create_namespaces()
+    house.seed_stations()
+    with pytest.raises(Exception):
+        house._take_name("openaq_station_mapping", f"{house.namespace('silver')}.absent")
+    assert house.table("openaq_station_mapping").count() == 22
