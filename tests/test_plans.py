@@ -109,3 +109,19 @@ def test_upsert_shuffles_each_side_once(spark):
     source = spark.createDataFrame([], schema)
     plan = plan_of(upsert.upsert(target, source, ["event_date", "city"], ["a"]), "simple")
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("name, parser", [("event_validation_strict", "from_json("), ("cap_alerts_parsed", "from_xml(")])
+def test_parsers_and_rules_stand_in_projections(spark, name, parser):
+    """Inside a generator an expression is interpreted once its stage is too large to compile."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR), "simple")
+    generators = [line for line in plan.splitlines() if "Generate explode(" in line]
+    assert len(generators) == 2 and parser in plan
+    assert all("Generate explode(array(_once" in line for line in generators)
+
+
+def test_all_messages_are_read_under_the_same_names(spark):
+    """A name per message would fill the reader's table of names."""
+    plan = plan_of(QUERIES["event_validation_strict"](spark, SF_DIR), "simple")
+    (read,) = [line for line in plan.splitlines() if "from_json(ArrayType(" in line]
+    assert ',{"end":", md5(' in read
