@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardgrid.llm import queries, suffixdedup, suffixes
+from hazardgrid.session import list_dir, shared_dir
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.01"
@@ -92,3 +93,15 @@ def test_neighbours_across_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert found == list(range(30))
+
+
+def test_frames_of_the_suffix_order_do_not_stay(spark):
+    """They would take disk while the last and largest join runs."""
+    folder = shared_dir(spark)
+    frames = lambda: {(n, f) for n in list_dir(spark, folder) if n.startswith("llm-") for f in list_dir(spark, f"{folder}/{n}")}
+    before = frames()
+    text = "".join(random.Random(3).choice("abcdefgh") for _ in range(300))
+    check(spark, [(1, text + "xy" + text[:90]), (2, "q" + text[40:180] + "z"), (3, text[100:260])], width=60, screen=30, spare=4)
+    left = {f for _, f in frames() - before}
+    assert {"runs", "adjacent"} <= left
+    assert not left & {"strings", "anchors", "letters", "level", "names", "merged", "keys"}
