@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,44 @@ def test_frames_of_the_suffix_order_do_not_stay(spark):
     left = {f for _, f in frames() - before}
     assert {"runs", "adjacent"} <= left
     assert not left & {"strings", "anchors", "letters", "level", "names", "merged", "keys"}
+
+
+def test_few_runs_inside_shared_passages(spark, monkeypatch):
+    """Each is digested and sent by its anchor; the inside of what is shared needs only long ones."""
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(6000))
+    rows = [(i, f"{i}" * 7 + passage[i * 300 : 3000 + i * 300] + f"{i}" * 9) for i in range(8)]
+    sizes = []
+
+    def counted(spark, df, name, *more, stored=suffixdedup.stored):
+        frame = stored(spark, df, name, *more)
+        if name == "runs":
+            sizes.append(frame.agg(F.sum(F.size("at"))).first()[0] or 0)
+        return frame
+
+    monkeypatch.setattr(suffixdedup, "stored", counted)
+    check(spark, rows)
+    windows = sum(len(t) - 399 for _, t in rows)
+    assert 0 < sum(sizes) < windows / 8
+
+
+def test_ranges_of_windows_across_blocks(monkeypatch):
+    monkeypatch.setattr(suffixdedup, "BLOCK", 16)
+    rng = random.Random(8)
+    text = bytes(rng.choice(b"abcd") for _ in range(150))
+    first, size = np.array([0, 3, 40, 60, 61, 139]), np.array([3, 1, 20, 1, 50, 2])
+    got = []
+    for low, part, keep, owner in suffixdedup._ranged(text, first, size, 10):
+        assert part.tobytes() == text[low : low + 25]
+        got += list(zip((keep + low).tolist(), owner.tolist()))
+    assert got == [(a + k, i) for i, (a, n) in enumerate(zip(first.tolist(), size.tolist())) for k in range(n)]
+    runs = [r for at, n, _, _, own in suffixdedup._runs(suffixdedup._ranged(text, first, size, 10), 10, 4) for r in zip(at.tolist(), n.tolist(), own.tolist())]
+    assert [(a + k, i) for a, n, i in runs for k in range(n)] == got
+
+
+def test_places_do_not_depend_on_the_block():
+    """Values alike in the bits that are compared: the leftmost, however long the block."""
+    x = np.array([7, 5, 1 << 30, 3], "u8")
+    tail = np.full(5000, 1 << 60, "u8")
+    assert suffixdedup._leftmost(x, 4).tolist() == [0]
+    assert suffixdedup._leftmost(np.concatenate([x, tail]), 4)[0] == 0
