@@ -147,3 +147,19 @@ def test_places_do_not_depend_on_the_block():
     tail = np.full(5000, 1 << 60, "u8")
     assert suffixdedup._leftmost(x, 4).tolist() == [0]
     assert suffixdedup._leftmost(np.concatenate([x, tail]), 4)[0] == 0
+
+
+def test_grams_of_joined_texts_are_those_of_each(monkeypatch):
+    rng = random.Random(6)
+    texts = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (0, 5, 19, 20, 21, 200, 0, 60, 20)] + [b"ab" * 40, b""]
+    ends = np.cumsum([0, *map(len, texts)])
+    want = []
+    for start, text in zip(ends.tolist(), texts):
+        grams = [int(h) for h in suffixdedup._hashes(np.frombuffer(text, "u1"), 10)]
+        least = lambda i: min(range(i, i + 11), key=lambda k: (grams[k] >> suffixdedup.PLACE, k))  # noqa: B023, E731
+        want += [(start + p, grams[p]) for p in sorted({least(i) for i in range(len(text) - 19)})]
+    for block, chunk in ((1 << 20, 1 << 16), (32, 50), (7, 1)):
+        monkeypatch.setattr(suffixdedup, "BLOCK", block)
+        monkeypatch.setattr(suffixdedup, "CHUNK", chunk)
+        places, values = suffixdedup._named(np.frombuffer(b"".join(texts), "u1"), ends, 20, 10)
+        assert list(zip(places.tolist(), values.tolist())) == want
